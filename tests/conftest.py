@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import os
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+# Workers import the package by name as well.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.get("PYTHONPATH")]))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.checkpoint.dir", str(base / "checkpoints"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def lines(spark):
+    def make(*values: str, partitions: int = 1):
+        rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+        if partitions > 1:
+            rows = rows.repartitionByRange(partitions, "i")
+        return rows.select("value")
+
+    return make
