@@ -1,5 +1,9 @@
 """Moving and reshaping tables with Spark: delimited text, extracts, SQL scripts, line map/reduce."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from tablehaul.functions.columns import column_list, expand_columns
 from tablehaul.functions.text import line_record, tokenize
 from tablehaul.operators.aggregate import reduce_by_key, word_count
@@ -22,3 +26,6 @@ __all__ = [
     "resolve_variables", "result_columns", "result_lines", "run_script", "run_sum", "sql",
     "table_properties", "table_stats", "to_long_form", "tokenize", "word_count", "write_lines",
 ]
+
+# Functions that run inside tasks travel with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -37,7 +37,7 @@ def run_sum(
     """
     spark = df.sparkSession
     group, order = [*partition_by, key], [o for o in order_by if o not in (*partition_by, key)]
-    ranges = [*partition_by, *order, key]
+    ranges = list(dict.fromkeys([*partition_by, *order_by, key]))
     rows = df.select(*group, *order, F.col(value).cast("bigint").alias("_value"))
     placed = rows.repartitionByRange(*ranges).sortWithinPartitions(*ranges)
     schema = T.StructType([*df.select(*group, *order).schema, *T.StructType.fromDDL(_PLACE)])

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 import sys
 from pathlib import Path
 
@@ -9,8 +8,6 @@ from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
-# Workers import the package by name as well.
-os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")
@@ -35,8 +32,7 @@ def spark(tmp_path_factory):
 def lines(spark):
     def make(*values: str, partitions: int = 1):
         rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
-        if partitions > 1:
-            rows = rows.repartitionByRange(partitions, "i")
+        rows = rows.repartitionByRange(partitions, "i") if partitions > 1 else rows.coalesce(1)
         return rows.select("value")
 
     return make

@@ -1,0 +1,60 @@
+"""Registered queries against the same rows from SQL."""
+
+from __future__ import annotations
+
+import math
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{FOLDER}/{name}.parquet')")
+    return db
+
+
+def comparable(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    return str(value)
+
+
+def sorted_rows(rows, names):
+    by_name = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(comparable(row[i]) for i in by_name) for row in rows)
+
+
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "tinyint": "TINYINT", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "decimal(6,1)": "DECIMAL(6,1)",
+}
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query_equals_sql(spark, oracle, name):
+    got = entry_points.queries()[name](spark, FOLDER)
+    want = oracle.execute(entry_points.oracle_sql()[name])
+    kinds = {d[0]: str(d[1]) for d in want.description}
+    assert {f.name: KINDS[f.dataType.simpleString()] for f in got.schema} == kinds
+    names = [d[0] for d in want.description]
+    expected = sorted_rows(want.fetchall(), names)
+    assert expected
+    assert sorted_rows(got.collect(), got.columns) == expected
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() > 0

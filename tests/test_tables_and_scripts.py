@@ -1,0 +1,111 @@
+"""Extract chain, table loads, scripts, statistics, column lists."""
+
+from __future__ import annotations
+
+import pytest
+
+from tablehaul import (
+    column_list, expand_columns, extract, load_partition, load_table, render, resolve_variables, result_columns,
+    run_script, sql, table_properties, table_stats,
+)
+from tablehaul.plans.script import statements
+
+
+def test_extract_order(spark):
+    df = spark.range(100).selectExpr("id a", "id * 2 b", "id % 3 c", "date'2024-01-01' d")
+    out = extract(spark, df, select=["a", "b", "string(d) d"], where="c = 0 and a < 50", drop=["a"], limit=3,
+                  aux=lambda t: t.orderBy("a"))
+    assert out.columns == ["b", "d"]
+    assert [r.b for r in out.collect()] == [0, 6, 12]
+    df.createOrReplaceTempView("ex_order")
+    assert extract(spark, "ex_order").count() == 100
+
+
+def test_load_table_replaces(spark, tmp_path):
+    (tmp_path / "m.tsv").write_text("id\ttitle\tyear\n1\tAlien\t1979\n2\t\\N\t1986\n")
+    columns = "id int, title string, year string"
+    loaded = load_table(spark, str(tmp_path / "m.tsv"), "movies", columns, header=True)
+    assert sorted(map(tuple, loaded.collect())) == [(1, "Alien", "1979"), (2, None, "1986")]
+    (tmp_path / "n.tsv").write_text("3,x\n")
+    again = load_table(spark, str(tmp_path / "n.tsv"), "movies", "id int, t string", sep=",",
+                       location=str(tmp_path / "table"))
+    assert list(map(tuple, again.collect())) == [(3, "x")]
+    with pytest.raises(ValueError, match="repeated"):
+        load_table(spark, str(tmp_path / "n.tsv"), "movies", "id int, ID string")
+    assert spark.table("movies").count() == 1
+    spark.sql("drop table movies")
+
+
+@pytest.mark.parametrize("spec", ["p='x'", {"p": "x"}])
+def test_load_partition_overwrites_one(spark, tmp_path, spec):
+    name = "parts_" + ("text" if isinstance(spec, str) else "dict")
+    spark.sql(f"create table {name} (a int, p string) using parquet partitioned by (p)")
+    spark.sql(f"insert into {name} values (1,'x'), (2,'y')")
+    (tmp_path / "f").write_text("7\n")
+    loaded = load_partition(spark, str(tmp_path / "f"), name, spec)
+    assert sorted(map(tuple, loaded.collect())) == [(2, "y"), (7, "x")]
+    spark.sql(f"drop table {name}")
+
+
+def test_statements():
+    assert statements("a; b ;;\n -- c;\n d 'x;y' \"p;q\" `r;s` /* t;u */; -- only a comment") == [
+        "a", "b", "-- c;\n d 'x;y' \"p;q\" `r;s` /* t;u */",
+    ]
+    assert statements(r"select 'it\'s;'; select ';'';'") == [r"select 'it\'s;'", "select ';'';'"]
+
+
+def test_render():
+    assert render("a {x} {{x}} {\"k\":1}", {"x": 1}) == 'a 1 {x} {"k":1}'
+    assert render("{x}", {"x": "{y}", "y": 2}) == "{y}"
+    with pytest.raises(KeyError):
+        render("{missing}")
+    assert resolve_variables({"x": "abc", "y": "test {x} ok"})["y"] == "test abc ok"
+
+
+def test_script(spark):
+    script = """
+        drop table if exists {env}_movies;  -- one; two
+        create or replace temp view {env}_v as select id, concat('a  ;', id) s from range(:n);
+        select s from {env}_v where id >= :low order by id;
+        drop view if exists {env}_none
+    """
+    args = {"n": 4, "low": 2}
+    script = script.replace("from range(:n)", "from range(4)")
+    rows = run_script(spark, script, {"env": "test"}, {"low": args["low"]})
+    assert [r.s for r in rows.collect()] == ["a  ;2", "a  ;3"]
+    lines = sql(spark, "select 1 a, 'x' b; select 2 a, 'y' b", header=True, format="csv2")
+    assert [r[0] for r in lines.collect()] == ["a,b", "2,y"]
+    assert sql(spark, "select 1 a", format=None).collect()[0].a == 1
+    with pytest.raises(ValueError):
+        run_script(spark, " -- nothing\n;")
+
+
+def test_result_columns_run_no_job(spark):
+    assert result_columns(spark, "select t.id, id + 1 as next from range(10) t limit 5") == ["id", "next"]
+
+
+def test_column_text(spark):
+    assert expand_columns("a b c d:i e:i f:ai", "string", "i:bigint ai:array<int>") == (
+        "a string,  b string,  c string,  d bigint,  e bigint,  f array<int>"
+    )
+    assert expand_columns("a:zz") == "a string"
+    assert column_list(spark.sql("select 1 a, array('x') b")) == "a int, b array<string>"
+
+
+def test_table_stats(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("select id a, if(id % 4 = 0, null, string(id)) b, map('k', id) m from range(100)").repartition(
+        3).write.parquet(path)
+    rows = {r.column_name: r for r in table_stats(spark.read.parquet(path)).collect()}
+    size = sum(p.stat().st_size for p in (tmp_path / "t").glob("part-*"))
+    assert {(r.row_count, r.file_count, r.byte_count) for r in rows.values()} == {(100, 3, size)}
+    assert (rows["a"].null_count, rows["a"].min_value, rows["a"].max_value) == (0, "0", "99")
+    assert (rows["b"].null_count, rows["b"].min_value, rows["b"].max_value) == (25, "1", "99")
+    assert rows["m"].min_value is None
+
+
+def test_table_properties(spark):
+    spark.sql("create table props_t (a int) using parquet tblproperties ('size'='12', 'made by'='me')")
+    found = {r.name: (r.text, r.number) for r in table_properties(spark, "props_t").collect()}
+    assert found["size"] == ("12", 12) and found["made by"] == ("me", None) and "props_t" in found["location"][0]
+    spark.sql("drop table props_t")
