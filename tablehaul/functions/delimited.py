@@ -21,14 +21,21 @@ from tablehaul.functions.text import quoted
 NULL_TEXT = r"\N"
 DEEPER_LEVELS = ("\x04", "\x05", "\x06", "\x07", "\x08")
 
-# Accepted text of a whole number with a fraction to cut off, a date, and a timestamp.
-NUMBER_WITH_FRACTION = r"^[+-]?[0-9]+\.[0-9]*$"
+# Accepted text of a whole number (a fraction is cut off), a date, and a timestamp.
+WHOLE_NUMBER_TEXT = r"^([+-]?[0-9]+)(\.[0-9]*)?$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?$"
 
 # Characters that the text of a non-string value may hold.
 PLAIN_VALUE_TEXT = set("0123456789+-.:eE NaInfitytruefals")
 
+# One above the largest number of each narrow type; signs and digits that always fit a bigint.
+WHOLE_NUMBER_BOUNDS = {T.ByteType: 1 << 7, T.ShortType: 1 << 15, T.IntegerType: 1 << 31}
+SAFE_LENGTH = 18
+
+# Columns up to which a projection fits one compiled method.
+NARROW_ROW = 12
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TEXT = (T.StringType, T.VarcharType, T.CharType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
@@ -87,6 +94,17 @@ def _spelled(sep: str) -> str:
     return chr(int(octal[1], 8)) if octal else sep
 
 
+def outside_whole_stage(columns: list[Column]) -> list[Column]:
+    """Keep a wide projection out of whole-stage code generation.
+
+    A whole stage puts a row into one method; past some dozen columns that method is too large for the JIT
+    compiler and runs interpreted. A higher-order function makes Spark generate a projection of small methods.
+    """
+    if len(columns) <= NARROW_ROW:
+        return columns
+    return [_let(columns[0], lambda x: x), *columns[1:]]
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind a value once for a body that names it several times."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -95,26 +113,33 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 # --- text -> value ------------------------------------------------------------------------------
 
 
-def parse_row(line: Column | str, schema: T.StructType, seps: Separators) -> list[Column]:
-    """One column per field of ``schema``; ``line`` must be the array made by :func:`split_row`."""
-    fields = F.col(line) if isinstance(line, str) else line
-    return _parse_fields(fields, schema, seps, 1)
+def split_row(line: Column | str, seps: Separators) -> Column:
+    return F.split(line, quoted(seps.at(0)), -1)
+
 
+def parse_steps(schema: T.StructType, seps: Separators) -> list[list[Column]]:
+    """Columns of consecutive projections from the array ``fields`` to the typed columns of ``schema``.
 
-def _parse_fields(fields: Column, schema: T.StructType, seps: Separators, level: int) -> list[Column]:
+    In steps no intermediate result is spelled twice, which keeps the generated code of a row small.
+    """
+    names = [f"c{i}" for i in range(len(schema))]
+    typed = list(zip([F.col(n) for n in names], [f.dataType for f in schema], strict=True))
+    pieces = [F.get("fields", F.lit(i)) for i in range(len(schema))]
     return [
-        parse_value(F.get(fields, F.lit(i)), f.dataType, seps, level).alias(f.name)
-        for i, f in enumerate(schema)
+        _step([_digits(p) if isinstance(t, _WHOLE) else p for p, (_, t) in zip(pieces, typed, strict=True)], names),
+        _step([_whole_number(c) if isinstance(t, _WHOLE) else parse_value(c, t, seps, 1) for c, t in typed], names),
+        _step([_narrowed(c, t) if isinstance(t, _WHOLE) else c for c, t in typed], schema.names),
     ]
 
 
-def split_row(line: Column | str, seps: Separators) -> Column:
-    return F.split(line, quoted(seps.at(0)), -1)
+def _step(columns: list[Column], names: list[str]) -> list[Column]:
+    return [c.alias(n) for c, n in zip(outside_whole_stage(columns), names, strict=True)]
 
 
 def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
     """The typed value of a piece of text; NULL where the text does not spell one."""
-    text = F.nullif(text, F.lit(NULL_TEXT))
+    if isinstance(dtype, _TEXT + _NESTED):
+        text = F.when(text != NULL_TEXT, text)  # no other type reads the marker as a value
     if isinstance(dtype, T.ArrayType):
         parts = _split_nonempty(text, seps.at(level))
         return F.transform(parts, lambda x: parse_value(x, dtype.elementType, seps, level + 1))
@@ -122,7 +147,12 @@ def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -
         return _parse_map(text, dtype, seps, level)
     if isinstance(dtype, T.StructType):
         parts = F.split(text, quoted(seps.at(level)), -1)
-        struct = _let(parts, lambda p: F.struct(*_parse_fields(p, dtype, seps, level + 1)))
+
+        def fields(parts: Column) -> Column:
+            values = [parse_value(F.get(parts, F.lit(i)), f.dataType, seps, level + 1) for i, f in enumerate(dtype)]
+            return F.struct(*[v.alias(n) for v, n in zip(values, dtype.names, strict=True)])
+
+        struct = _let(parts, fields)
         return F.when(text.isNotNull(), struct)
     return parse_scalar(_decoded(text, dtype, seps), dtype)
 
@@ -130,14 +160,12 @@ def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -
 def parse_scalar(text: Column, dtype: T.DataType) -> Column:
     """Casts guarded so that they accept exactly the spellings the text format accepts."""
     if isinstance(dtype, _WHOLE):
-        whole = F.when(_no_outer_blanks(text), text.try_cast(dtype))
-        cut = F.when(text.rlike(NUMBER_WITH_FRACTION), F.substring_index(text, ".", 1).try_cast(dtype))
-        return F.coalesce(whole, F.when(F.contains(text, F.lit(".")), cut))
+        return _let(_digits(text), lambda d: _let(_whole_number(d), lambda n: _narrowed(n, dtype)))
     if isinstance(dtype, T.BooleanType):
         word = F.lower(text)
         return F.when(word == "true", True).when(word == "false", False)
     if isinstance(dtype, T.DecimalType):
-        return F.when(_no_outer_blanks(text), text.try_cast(dtype))
+        return F.when(_no_outer_blanks(text) & (text != NULL_TEXT), text.try_cast(dtype))
     if isinstance(dtype, T.DateType):
         return F.when(text.rlike(DATE_TEXT), text.try_cast(dtype))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -151,10 +179,31 @@ def parse_scalar(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return text.try_cast(dtype)
+        return F.when((text != NULL_TEXT) & (text != ""), text.try_cast(dtype))
     raise TypeError(f"type {dtype.simpleString()} cannot be read from delimited text")
 
 
+# Casts that fail cost an exception per value, so the steps below sort out by comparison what cannot fit.
+
+
+def _digits(text: Column) -> Column:
+    """Sign and digits of a whole number without the fraction, empty if the text is none."""
+    return F.regexp_extract(text, WHOLE_NUMBER_TEXT, 1)
+
+
+def _whole_number(digits: Column) -> Column:
+    length = F.length(digits)
+    short = F.when(length.between(1, SAFE_LENGTH), digits.cast("bigint"))
+    return short.when(length > SAFE_LENGTH, digits.try_cast("bigint"))
+
+
+def _narrowed(number: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.LongType):
+        return number
+    bound = WHOLE_NUMBER_BOUNDS[type(dtype)]
+    return F.when(number.between(-bound, bound - 1), number.cast(dtype))
+
+
 def _no_outer_blanks(text: Column) -> Column:
     # A cast trims blanks and control characters, the text format does not accept them.
     last = F.substring(text, -1, 1)

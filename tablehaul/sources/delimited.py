@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablehaul.functions.delimited import Separators, conflicts, format_row, parse_row, split_row
+from tablehaul.functions.delimited import Separators, conflicts, format_row, parse_steps, split_row
 from tablehaul.sources.lines import headed, read_lines, write_lines
 
 
@@ -51,8 +51,10 @@ def parse_lines(
     """Parse a one-column DataFrame of lines into typed columns."""
     schema = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
     seps = Separators(sep, csep, ksep, escaped)
-    fields = lines.select(split_row(F.col(lines.columns[0]), seps).alias("fields"))
-    return fields.select(*parse_row("fields", schema, seps))
+    rows = lines.select(split_row(F.col(lines.columns[0]), seps).alias("fields"))
+    for step in parse_steps(schema, seps):
+        rows = rows.select(*step)
+    return rows
 
 
 def format_lines(
