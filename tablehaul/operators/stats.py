@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,39 +14,35 @@ _UNORDERED = (T.MapType, T.VariantType)
 def table_stats(df: DataFrame) -> DataFrame:
     """One row per column of a file-backed table: row and NULL counts, min and max as text, files and bytes.
 
-    One scan: partial results per file give the file sizes, then one small aggregate over the files.
+    One aggregate over the columns, which keeps no group and sorts nothing, and one over the file names, for which
+    no column is read.
     """
-    names = df.columns
-    ordered = [n for n, f in zip(names, df.schema, strict=True) if not isinstance(f.dataType, _UNORDERED)]
-    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count("*").alias("rows"),
-        F.max("_metadata.file_size").alias("bytes"),
-        *[F.count_if(_col(n).isNull()).alias(f"nulls {i}") for i, n in enumerate(names)],
-        *[F.min(_col(n)).alias(f"min {i}") for i, n in enumerate(names) if n in ordered],
-        *[F.max(_col(n)).alias(f"max {i}") for i, n in enumerate(names) if n in ordered],
+    kinds = {f.name: f.dataType for f in df.schema}
+    files = (
+        df.groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.max("_metadata.file_size").alias("bytes"))
+        .agg(F.struct(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).alias("size"))
     )
 
-    def extreme(kind: str, aggregate, i: int, name: str):
-        value = aggregate(f"{kind} {i}") if name in ordered else F.lit(None)
-        return value.cast("string").alias(f"{kind}_value")
-
-    whole = per_file.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
-        F.count("*").alias("file_count"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("byte_count"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(n).alias("column_name"),
-                    F.coalesce(F.sum(f"nulls {i}"), F.lit(0)).alias("null_count"),
-                    extreme("min", F.min, i, n),
-                    extreme("max", F.max, i, n),
-                )
-                for i, n in enumerate(names)
-            ]
-        ).alias("columns"),
+    def extreme(aggregate: Callable[[Column], Column], name: str) -> Column:
+        return F.lit(None).cast("string") if isinstance(kinds[name], _UNORDERED) else (
+            aggregate(_col(name)).cast("string")
+        )
+
+    columns = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            (F.count("*") - F.count(_col(name))).alias("null_count"),
+            extreme(F.min, name).alias("min_value"),
+            extreme(F.max, name).alias("max_value"),
+        )
+        for name in df.columns
+    ]
+    whole = df.agg(F.count("*").alias("row_count"), F.array(*columns).alias("columns"))
+    return whole.withColumn("size", files.scalar()).select(
+        "row_count", F.col("size.files").alias("file_count"), F.col("size.bytes").alias("byte_count"),
+        F.inline("columns"),
     )
-    return whole.select("row_count", "file_count", "byte_count", F.inline("columns"))
 
 
 def table_properties(spark: SparkSession, table: str) -> DataFrame:
@@ -56,5 +54,5 @@ def table_properties(spark: SparkSession, table: str) -> DataFrame:
     return properties.unionAll(location).withColumn("number", number)
 
 
-def _col(name: str):
+def _col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")

@@ -24,7 +24,7 @@ from tablehaul.plans.script import sql as sql_lines
 from tablehaul.sources.csv import extract_csv
 from tablehaul.sources.delimited import dump, format_lines, parse_lines, read_delimited
 from tablehaul.sources.formats import result_lines, to_long_form
-from tablehaul.sources.lines import read_lines, write_lines
+from tablehaul.sources.lines import positioned_lines, read_lines, write_lines
 from tablehaul.sources.scratch import scratch_path
 from tablehaul.sources.tables import load_partition, load_table
 from tablehaul.streaming.mapreduce import map_reduce, named
@@ -297,16 +297,17 @@ def multi_input_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered("""
-    SELECT CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS place, o_orderkey
-    FROM orders
+    SELECT CAST(o_custkey AS VARCHAR) AS customer, CAST(sum(o_orderkey) AS BIGINT) AS total, count(*) AS rows
+    FROM orders GROUP BY o_custkey
 """)
 def dump_keeps_query_order(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines in file order carry the order of the query: the place written is the place of the line."""
+    """Lines in file order carry the order of the query: keys it sorted are adjacent, one run for each."""
     path = scratch_path(spark, "ordered")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    dump(spark, orders.orderBy(F.desc("o_totalprice"), "o_orderkey").select("o_orderkey"), path)
-    numbered = read_lines(spark, path, ordered=True).rdd.map(lambda r: r[0]).zipWithIndex()
-    return numbered.toDF("line string, i long").selectExpr("i + 1 AS place", "bigint(line) AS o_orderkey")
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey")
+    dump(spark, orders.orderBy("o_custkey", "o_orderkey"), path)
+    lines = positioned_lines(spark, path).withColumn("fields", line_record("value"))
+    keyed = lines.selectExpr("file", "block", "row", "fields[0] AS customer", "fields[1] AS number")
+    return run_sum(keyed, "customer", "number", ["file", "block", "row"]).select("customer", "total", "rows")
 
 
 @registered("""

@@ -13,12 +13,24 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], ordered: bool =
 
     ``ordered`` returns them in file-name order, which costs a range shuffle of all lines.
     """
-    text = spark.read.text([paths] if isinstance(paths, str) else list(paths))
-    if not ordered:
-        return text
-    place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    tagged = text.select("value", *[p.alias(n) for p, n in zip(place, ("file", "block", "row"), strict=True)])
-    return tagged.sort("file", "block", "row").select("value")
+    if ordered:
+        return positioned_lines(spark, paths).sort("file", "block", "row").select("value")
+    return _text(spark, paths)
+
+
+def positioned_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines with their place: columns ``value``, ``file``, ``block``, ``row``; sorting by the last three restores
+    the order of the files' content."""
+    return _text(spark, paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def _text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return spark.read.text([paths] if isinstance(paths, str) else list(paths))
 
 
 def read_sequence_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

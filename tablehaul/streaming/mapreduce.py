@@ -70,13 +70,14 @@ def _reduced(
             "key", "number", reducer.reducer,
         )
         return totals.select(F.concat_ws("\t", "key", reducer.reducer).alias("value"))
+    lines = lines.toDF("value")
     if combiner is not None:
-        lines = run_stage(_keyed(lines).sortWithinPartitions("key").select("value"), combiner)
-    keyed = _keyed(lines)
-    gathered = keyed.repartition(tasks, "key") if tasks else keyed.repartition("key")
-    in_order = gathered.sortWithinPartitions("key").select("value")
+        lines = run_stage(_in_key_order(lines), combiner)
+    # Only the lines travel: the key is taken from them again on the other side.
+    key = line_key("value")
+    in_order = _in_key_order(lines.repartition(tasks, key) if tasks else lines.repartition(key))
     return in_order if reducer is None else run_stage(in_order, reducer)
 
 
-def _keyed(lines: DataFrame) -> DataFrame:
-    return lines.toDF("value").select(line_key("value").alias("key"), "value")
+def _in_key_order(lines: DataFrame) -> DataFrame:
+    return lines.select(line_key("value").alias("key"), "value").sortWithinPartitions("key").select("value")

@@ -9,6 +9,7 @@ from tablehaul import (
     run_script, sql, table_properties, table_stats,
 )
 from tablehaul.plans.script import statements
+from tablehaul.sources.scratch import scratch_path
 
 
 def test_extract_order(spark):
@@ -109,3 +110,18 @@ def test_table_properties(spark):
     found = {r.name: (r.text, r.number) for r in table_properties(spark, "props_t").collect()}
     assert found["size"] == ("12", 12) and found["made by"] == ("me", None) and "props_t" in found["location"][0]
     spark.sql("drop table props_t")
+
+
+def test_scratch_folder(spark):
+    class Session:
+        def __init__(self, master, **conf):
+            self.conf = conf
+            self.sparkContext = type("Context", (), {"master": master})
+
+    shared = {"spark.checkpoint.dir": "hdfs://shared/"}
+    first, second = (scratch_path(Session("yarn", **shared), "x") for _ in range(2))
+    assert first.startswith("hdfs://shared/tablehaul/x-") and first != second
+    assert scratch_path(Session("local[2]"), "x").rsplit("/", 1)[0] == scratch_path(Session("local"), "y").rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session("yarn"), "x")
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
