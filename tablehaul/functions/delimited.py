@@ -226,8 +226,8 @@ def _parse_map(text: Column, dtype: T.MapType, seps: Separators, level: int) ->
             F.substr(item, F.length(key) + F.lit(len(ksep) + 1)),
         )
         return F.struct(
-            parse_value(key, dtype.keyType, seps, level + 2).alias("key"),
-            parse_value(rest, dtype.valueType, seps, level + 2).alias("value"),
+            _let(key, lambda k: parse_value(k, dtype.keyType, seps, level + 2)).alias("key"),
+            _let(rest, lambda v: parse_value(v, dtype.valueType, seps, level + 2)).alias("value"),
         )
 
     def first_wins(entries: Column) -> Column:

@@ -181,3 +181,41 @@ def test_run_sum_fixture_and_nulls(spark):
     assert got == [("a", 3), ("b", 3), ("a", 4), ("c", None)]
     by_key = [(r.k, r.total) for r in run_sum(df, "k", "v", ["k", "i"]).orderBy("k").collect()]
     assert by_key == [("a", 7), ("b", 3), ("c", None)]
+
+
+def test_run_sum_spreads_a_hot_partition_value(spark, tmp_path):
+    rows = spark.range(30_000).selectExpr("if(id % 3 < 2, 1, id) user", "id place", "string(id % 2) key", "1 value")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        path = str(tmp_path / "fragments")
+        got = run_sum(rows, "key", "value", ["place"], ["user"], scratch=path)
+        loads = [r["sum(rows)"] for r in spark.read.parquet(path).groupBy("_part").sum("rows").collect()]
+        assert sum(loads) == 30_000 and max(loads) < 30_000 / 4
+        assert got.selectExpr("sum(total)").first()[0] == 30_000
+        assert got.count() == 30_000 - _merged(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def _merged(rows):
+    """Rows that continue a run, from the sorted rows themselves."""
+    ordered = sorted((r.user, r.place, r.key) for r in rows.collect())
+    return sum(a[0] == b[0] and a[2] == b[2] for a, b in zip(ordered, ordered[1:]))
+
+
+def test_combiner_shrinks_a_hot_key_before_the_shuffle(spark, lines):
+    def count_lines(lines):
+        for key, group in groupby(lines, key=lambda line: line.split("\t")[0]):
+            yield f"{key}\t{sum(1 for _ in group)}"
+
+    data = lines(*["hot\t1"] * 3000, *[f"k{i}\t1" for i in range(500)], partitions=3)
+    seen = dict(t.split("\t") for t in texts(map_reduce(spark, data, reducer=count_lines, combiner=sum_adjacent)))
+    assert int(seen["hot"]) <= 3 and set(seen.values()) <= {"1", "2", "3"}
+
+
+def test_reducer_partitioning_keeps_keys_whole(spark, lines):
+    data = lines(*[f"{k}\t{i}" for i in range(50) for k in "abcdefgh"], partitions=5)
+    out = texts(map_reduce(spark, data, reducer=sum_adjacent, reduce_tasks=3))
+    assert out == [f"{k}\t{sum(range(50))}" for k in "abcdefgh"]
