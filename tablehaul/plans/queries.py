@@ -123,8 +123,10 @@ def dump_header_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 def header_in_every_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "file-headers")
     orders = table(spark, folder, "orders")
-    written = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string")).repartition("o_orderpriority")
-    written.write.csv(path, sep="\t", header=True)
+    written = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    for rows in (written.where(finished), written.where(~finished)):
+        rows.write.mode("append").csv(path, sep="\t", header=True)
     return read_delimited(spark, path, column_list(orders), header=True)
 
 
@@ -442,16 +444,17 @@ def sql_script_variables(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered("""
-    SELECT 'o_orderkey' || chr(9) || 'next_key' AS value
-    UNION ALL SELECT o_orderkey || chr(9) ||
-        coalesce((lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey))::VARCHAR, 'NULL') FROM orders
+    SELECT 'o_custkey' || chr(9) || 'orders' || chr(9) || 'last_pending' AS value
+    UNION ALL SELECT o_custkey || chr(9) || count(*) || chr(9) ||
+        coalesce(max(CASE WHEN o_orderstatus = 'P' THEN o_orderkey END)::VARCHAR, 'NULL')
+    FROM orders GROUP BY o_custkey
 """)
 def sql_result_lines(spark: SparkSession, folder: str) -> DataFrame:
     script = """
-        SELECT o_orderkey, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS next_key
-        FROM parquet.`{folder}/orders.parquet`
+        SELECT o_custkey, count(*) AS orders, max(CASE WHEN o_orderstatus = :status THEN o_orderkey END) AS last_pending
+        FROM parquet.`{folder}/orders.parquet` GROUP BY o_custkey
     """
-    return sql_lines(spark, script, {"folder": folder}, header=True)
+    return sql_lines(spark, script, {"folder": folder}, {"status": "P"}, header=True)
 
 
 # --- pipes ----------------------------------------------------------------------------------------
@@ -562,6 +565,14 @@ def map_reduce_command(spark: SparkSession, folder: str) -> DataFrame:
     return _key_value(counted, "event_type", "n")
 
 
+@registered("""
+    SELECT concat(event_type, chr(9), event_id, chr(9), props) AS value FROM events
+""")
+def sort_lines(spark: SparkSession, folder: str) -> DataFrame:
+    events = format_lines(table(spark, folder, "events").select("event_type", "event_id", "props"))
+    return map_reduce(spark, events, scratch_path(spark, "sorted-lines"), reduce_tasks=4)
+
+
 @registered("""
     SELECT concat(l_suppkey, chr(9), CAST(sum(l_linenumber) AS BIGINT)) AS value FROM lineitem GROUP BY l_suppkey
 """)

@@ -39,8 +39,9 @@ def map_reduce(
 
     ``combiner`` folds the lines of each map partition before the shuffle (``True``: with the reducer).
     With one, a key that holds much of the data reaches its reducer as one line per map partition; without
-    one, all lines of a key stream through one task. ``reduce_tasks=0`` stops after the map. ``output``
-    overwrites a dataset with the result, which is then read back from there.
+    one, all lines of a key stream through one task. ``reduce_tasks=0`` stops after the map; a number without a
+    reducer sorts the lines by key. ``output`` overwrites a dataset with the result, which is then read back from
+    there.
     """
     if isinstance(input, DataFrame):
         lines = input.repartition(map_tasks) if map_tasks else input
@@ -73,10 +74,20 @@ def _reduced(
     lines = lines.toDF("value")
     if combiner is not None:
         lines = run_stage(_in_key_order(lines), combiner)
+    if reducer is None:
+        return _sorted_lines(lines, tasks)
     # Only the lines travel: the key is taken from them again on the other side.
     key = line_key("value")
-    in_order = _in_key_order(lines.repartition(tasks, key) if tasks else lines.repartition(key))
-    return in_order if reducer is None else run_stage(in_order, reducer)
+    gathered = lines.repartition(tasks, key) if tasks else lines.repartition(key)
+    return run_stage(_in_key_order(gathered), reducer)
+
+
+def _sorted_lines(lines: DataFrame, tasks: int | None) -> DataFrame:
+    # No reducer needs a key whole, so ranges may cut through a hot key, even one whose lines are all alike.
+    order = ("key", "value", "source")
+    keyed = lines.select(line_key("value").alias("key"), "value", F.spark_partition_id().alias("source"))
+    ranged = keyed.repartitionByRange(tasks, *order) if tasks else keyed.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order).select("value")
 
 
 def _in_key_order(lines: DataFrame) -> DataFrame:

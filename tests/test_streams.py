@@ -9,6 +9,7 @@ from itertools import groupby
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from tablehaul import (
     batched, map_reduce, named, pipe_from, pipe_into, read_lines, reduce_by_key, run_sum, tokenize, word_count,
@@ -112,6 +113,9 @@ def test_paths_tasks_and_output(spark, tmp_path):
 def test_identity_reduce_sorts_by_key(spark, lines):
     out = map_reduce(spark, lines("b\t1", "a\t2", "c", partitions=3), reduce_tasks=1)
     assert [r[0] for r in out.collect()] == ["a\t2", "b\t1", "c"]
+    alike = lines(*["hot\t1"] * 4000, "a\t1", partitions=4)
+    loads = map_reduce(spark, alike, reduce_tasks=4).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in loads) == 4001 and max(r["count"] for r in loads) < 3000
 
 
 def test_pipes(spark, lines, tmp_path):
