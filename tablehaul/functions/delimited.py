@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,9 +22,9 @@ NULL_TEXT = r"\N"
 DEEPER_LEVELS = ("\x04", "\x05", "\x06", "\x07", "\x08")
 
 # Accepted text of a whole number (a fraction is cut off), a date, and a timestamp.
-WHOLE_NUMBER_TEXT = r"^([+-]?[0-9]+)(\.[0-9]*)?$"
-DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?$"
+WHOLE_NUMBER_TEXT = r"^([+-]?[0-9]+)(\.[0-9]*)?\z"
+DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
+TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?\z"
 
 # Characters that the text of a non-string value may hold.
 PLAIN_VALUE_TEXT = set("0123456789+-.:eE NaInfitytruefals")
@@ -46,24 +46,19 @@ class Separators:
     """Separators by level; ``\\t`` and octal ``\\001`` spellings are taken as the character they name.
 
     ``escaped`` makes strings safe: separators, line breaks and backslashes inside them are written as
-    backslash codes and decoded on the way back. ``depth`` is the number of levels to code when writing.
+    backslash codes and decoded on the way back.
     """
 
     sep: str = "\t"
     csep: str = ","
     ksep: str = ":"
     escaped: bool = False
-    depth: int = 8
 
     def __post_init__(self) -> None:
         taken = set("\\nrN01234567")
         if self.escaped and any(len(s) > 1 or s in taken for s in self.levels):
             raise ValueError("escaped text needs one-character separators that no escape code uses")
 
-    def for_schema(self, schema: T.StructType) -> Separators:
-        """The same separators, coding only the levels that ``schema`` reaches."""
-        return replace(self, depth=_depth(schema))
-
     @property
     def levels(self) -> tuple[str, ...]:
         return tuple(_spelled(s) for s in (self.sep, self.csep, self.ksep)) + DEEPER_LEVELS
@@ -74,17 +69,6 @@ class Separators:
         return self.levels[level]
 
 
-def _depth(dtype: T.DataType) -> int:
-    """How many separator levels the text of a type uses."""
-    if isinstance(dtype, T.ArrayType):
-        return 1 + _depth(dtype.elementType)
-    if isinstance(dtype, T.MapType):
-        return 2 + max(_depth(dtype.keyType), _depth(dtype.valueType))
-    if isinstance(dtype, T.StructType):
-        return 1 + max((_depth(f.dataType) for f in dtype), default=0)
-    return 0
-
-
 def _spelled(sep: str) -> str:
     if not sep:
         raise ValueError("a separator must not be empty")
@@ -154,7 +138,7 @@ def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -
 
         struct = _let(parts, fields)
         return F.when(text.isNotNull(), struct)
-    return parse_scalar(_decoded(text, dtype, seps), dtype)
+    return parse_scalar(_decoded(text, dtype, seps, level), dtype)
 
 
 def parse_scalar(text: Column, dtype: T.DataType) -> Column:
@@ -257,7 +241,7 @@ def _name(name: str) -> str:
 def format_value(value: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
     r"""The text of a value, ``\N`` for NULL."""
     if isinstance(dtype, T.ArrayType):
-        if _is_plain(dtype.elementType, seps):
+        if _is_plain(dtype.elementType, seps, level + 1):
             text = F.array_join(value.cast("array<string>"), seps.at(level), NULL_TEXT)
         else:
             items = F.transform(value, lambda x: format_value(x, dtype.elementType, seps, level + 1))
@@ -276,47 +260,46 @@ def format_value(value: Column, dtype: T.DataType, seps: Separators, level: int)
         fields = [format_value(value[f.name], f.dataType, seps, level + 1) for f in dtype]
         text = F.when(value.isNotNull(), F.concat_ws(seps.at(level), *fields))
     else:
-        text = _encoded(F.base64(value) if isinstance(dtype, T.BinaryType) else value.cast("string"), dtype, seps)
+        text = _encoded(_scalar_text(value, dtype), dtype, seps, level)
     return F.coalesce(text, F.lit(NULL_TEXT))
 
 
-def _is_plain(dtype: T.DataType, seps: Separators) -> bool:
+def _scalar_text(value: Column, dtype: T.DataType) -> Column:
+    return F.base64(value) if isinstance(dtype, T.BinaryType) else value.cast("string")
+
+
+def _is_plain(dtype: T.DataType, seps: Separators, level: int) -> bool:
     """Whether a cast to string is the text of the value as it stands."""
-    return not isinstance(dtype, _NESTED + (T.BinaryType,)) and not _needs_codes(dtype, seps)
+    return not isinstance(dtype, _NESTED + (T.BinaryType,)) and not _needs_codes(dtype, seps, level)
 
 
 def conflicts(schema: T.StructType, seps: Separators) -> Column:
     r"""True for a row in which some value holds a separator, a line break or the NULL marker."""
-    found = [c for f in schema for c in _conflicts(F.col(_name(f.name)), f.dataType, seps, 1)]
-    anywhere = F.lit(False)
-    for c in found:
-        anywhere = anywhere | F.coalesce(c, F.lit(False))
-    return anywhere
-
+    return _any([_conflict(F.col(_name(f.name)), f.dataType, seps, 1) for f in schema])
 
-def _conflicts(value: Column, dtype: T.DataType, seps: Separators, level: int) -> list[Column]:
-    def inner(x: Column, t: T.DataType, down: int) -> Column:
-        hits = [F.coalesce(c, F.lit(False)) for c in _conflicts(x, t, seps, level + down)]
-        any_hit = F.lit(False)
-        for h in hits:
-            any_hit = any_hit | h
-        return any_hit
 
+def _conflict(value: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
     if isinstance(dtype, T.ArrayType):
-        return [F.exists(value, lambda x: inner(x, dtype.elementType, 1))]
+        return F.exists(value, lambda x: _conflict(x, dtype.elementType, seps, level + 1))
     if isinstance(dtype, T.MapType):
-        return [
-            F.exists(F.map_keys(value), lambda x: inner(x, dtype.keyType, 2)),
-            F.exists(F.map_values(value), lambda x: inner(x, dtype.valueType, 2)),
-        ]
+        return _any([
+            F.exists(F.map_keys(value), lambda x: _conflict(x, dtype.keyType, seps, level + 2)),
+            F.exists(F.map_values(value), lambda x: _conflict(x, dtype.valueType, seps, level + 2)),
+        ])
     if isinstance(dtype, T.StructType):
-        return [c for f in dtype for c in _conflicts(value[f.name], f.dataType, seps, level + 1)]
-    if not _may_conflict(dtype, seps.levels[:level]):
-        return []
-    text = value.cast("string")
-    hits = [F.contains(text, F.lit(s)) for s in ("\n", "\r", *seps.levels[:level])]
-    hits.append(text == NULL_TEXT)
-    return hits
+        return _any([_conflict(value[f.name], f.dataType, seps, level + 1) for f in dtype])
+    outer = seps.levels[:level]
+    if not _may_conflict(dtype, outer):
+        return F.lit(False)
+    text = _scalar_text(value, dtype)
+    return _any([text == NULL_TEXT, *[F.contains(text, F.lit(s)) for s in ("\n", "\r", *outer)]])
+
+
+def _any(conditions: list[Column]) -> Column:
+    found = F.lit(False)
+    for condition in conditions:
+        found = found | F.coalesce(condition, F.lit(False))
+    return found
 
 
 def _may_conflict(dtype: T.DataType, separators: tuple[str, ...]) -> bool:
@@ -329,8 +312,8 @@ def _may_conflict(dtype: T.DataType, separators: tuple[str, ...]) -> bool:
 LINE_BREAK_CODES = {"\n": r"\n", "\r": r"\r"}
 
 
-def _needs_codes(dtype: T.DataType, seps: Separators) -> bool:
-    return seps.escaped and _may_conflict(dtype, seps.levels)
+def _needs_codes(dtype: T.DataType, seps: Separators, level: int) -> bool:
+    return seps.escaped and _may_conflict(dtype, seps.levels[:level])
 
 
 def _codes(levels: tuple[str, ...]) -> dict[str, str]:
@@ -338,21 +321,22 @@ def _codes(levels: tuple[str, ...]) -> dict[str, str]:
     return LINE_BREAK_CODES | by_level
 
 
-def _encoded(text: Column, dtype: T.DataType, seps: Separators) -> Column:
-    if not _needs_codes(dtype, seps):
+def _encoded(text: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
+    """Text with codes for the separators of the levels around it."""
+    if not _needs_codes(dtype, seps, level):
         return text
     text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for character, code in _codes(seps.levels[: seps.depth]).items():
+    for character, code in _codes(seps.levels[:level]).items():
         text = F.replace(text, F.lit(character), F.lit(code))
     return text
 
 
-def _decoded(text: Column, dtype: T.DataType, seps: Separators) -> Column:
-    if not _needs_codes(dtype, seps):
+def _decoded(text: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
+    if not _needs_codes(dtype, seps, level):
         return text
 
     def undo(piece: Column) -> Column:
-        for character, code in _codes(seps.levels).items():
+        for character, code in _codes(seps.levels[:level]).items():
             piece = F.replace(piece, F.lit(code), F.lit(character))
         return piece
 

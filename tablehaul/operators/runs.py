@@ -119,8 +119,8 @@ def _totals(batch: pa.RecordBatch, cuts: np.ndarray) -> np.ndarray:
     numbers = pc.fill_null(values, 0).to_numpy(zero_copy_only=False)
     if np.abs(np.add.reduceat(numbers.astype(float), cuts)).max() > 2.0**62:
         raise OverflowError("the sum of a run does not fit a bigint")
-    stretches = [np.add.reduceat(numbers, cuts), np.diff([*cuts, len(numbers)]), np.add.reduceat(known.astype(int), cuts)]
-    return np.array(stretches, dtype=np.int64)
+    rows = np.diff([*cuts, len(numbers)])
+    return np.array([np.add.reduceat(numbers, cuts), rows, np.add.reduceat(known.astype(int), cuts)], dtype=np.int64)
 
 
 def _placed(

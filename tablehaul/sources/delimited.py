@@ -78,7 +78,7 @@ def format_lines(
     schema = T.StructType(
         [T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, df.schema, strict=True)]
     )
-    seps = Separators(sep, csep, ksep, on_conflict == "escape").for_schema(schema)
+    seps = Separators(sep, csep, ksep, on_conflict == "escape")
     line = format_row(schema, seps)
     if on_conflict == "error":
         message = F.lit("a value holds a separator, a line break or the NULL marker")

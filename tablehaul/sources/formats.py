@@ -44,7 +44,7 @@ def to_long_form(df: DataFrame, ids: list[str], columns: list[str] | None = None
     """One (name, value) row per cell, values as text, beside the id columns."""
     wide = columns or [c for c in df.columns if c not in ids]
     kinds = {f.name: f.dataType for f in df.schema}
-    cells = df.select(*ids, *[_text(F.col(c), kinds[c], None).alias(c) for c in wide])
+    cells = df.select(*ids, *[_text(df[f"`{c}`"], kinds[c], None).alias(c) for c in wide])
     return cells.unpivot(ids, wide, "name", "value")
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Name of a part file in three pieces, and digits to compare its number with.
+PART_FILE = r"^(.*/part-)([0-9]+)([^/]*)\z"
+PART_DIGITS = 10
+
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], ordered: bool = False) -> DataFrame:
     """The lines of every non-hidden file under one or more paths or globs, decompressed by file suffix.
@@ -23,12 +27,19 @@ def positioned_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     the order of the files' content."""
     return _text(spark, paths).select(
         "value",
-        F.col("_metadata.file_path").alias("file"),
+        _name_order(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
 
 
+def _name_order(path: Column) -> Column:
+    # Part numbers have five digits, or more in large datasets; padding keeps part-100000 behind part-99999.
+    pieces = [F.regexp_extract(path, PART_FILE, i) for i in (1, 2, 3)]
+    padded = F.concat(pieces[0], F.lpad(pieces[1], PART_DIGITS, "0"), pieces[2])
+    return F.when(path.rlike(PART_FILE), padded).otherwise(path)
+
+
 def _text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text([paths] if isinstance(paths, str) else list(paths))
 

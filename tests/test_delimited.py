@@ -19,6 +19,7 @@ GOLDEN = {
     "int": [
         (r"\N", None), ("", None), ("x", None), ("99999999999", None), ("+3", 3), ("-0", 0), (" 7 ", None),
         ("7 ", None), ("1.5", 1), ("-1.9", -1), ("1.", 1), ("1.x", None), ("1e3", None), (" 1.5", None),
+        ("5\u2028", None), ("007", 7), ("0000000000000000000000012", 12),
     ],
     "tinyint": [("127", 127), ("128", None), ("128.5", None)],
     "bigint": [("9223372036854775807", 9223372036854775807), ("9223372036854775808", None)],
@@ -199,6 +200,23 @@ def test_conflict_policy(spark, lines):
     assert format_lines(fine, on_conflict="error").collect()[0][0] == "a,b\tx\t\\N"
     with pytest.raises(ValueError):
         format_lines(df, on_conflict="maybe")
+    with pytest.raises(ValueError, match="escape code"):
+        format_lines(df, sep="n", on_conflict="escape")
+    with pytest.raises(TypeError):
+        parse_lines(lines("x"), "i interval day")
+
+
+def test_wide_rows(spark):
+    ddl = ", ".join(f"k{i} {('int', 'string', 'double', 'array<int>')[i % 4]}" for i in range(60))
+    values = tuple((i, f"s{i}", i / 8, [i, None])[i % 4] for i in range(60))
+    df = spark.createDataFrame([values, (None,) * 60], ddl)
+    assert parse_lines(format_lines(df), ddl).collect() == df.collect()
+
+
+def test_codes_only_for_the_levels_around_a_value(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-01 10:00:00' t, 'a:b,c' s, array('d:e,f') a, map('k:', 'v:,') m")
+    line = format_lines(df, on_conflict="escape").first()[0]
+    assert line == "2024-01-01 10:00:00\ta:b,c\td:e\\1f\tk\\2:v\\2\\1"
 
 
 def test_parse_stays_in_the_jvm(lines):

@@ -32,6 +32,12 @@ def test_file_order(spark, tmp_path):
     assert texts(read_lines(spark, str(tmp_path), ordered=True)) == ["h", "a0", "a1"] + [f"b{i}" for i in range(500)]
 
 
+def test_file_order_past_five_digits(spark, tmp_path):
+    for number in ("99999", "100000", "00007"):
+        (tmp_path / f"part-{number}-x.txt").write_text(number + "\n")
+    assert texts(read_lines(spark, str(tmp_path), ordered=True)) == ["00007", "99999", "100000"]
+
+
 def test_several_inputs_and_globs(spark, tmp_path):
     for d in ("x", "y"):
         (tmp_path / d).mkdir()
@@ -81,7 +87,8 @@ def test_csv_text_equals_the_csv_writer(spark, tmp_path, options):
 
 
 def test_csv_extract_chain_with_one_header(spark, tmp_path):
-    spark.range(20).selectExpr("id a", "id * 2 b", "id c", "date'2024-01-01' d").repartition(3).createOrReplaceTempView("ex")
+    numbers = spark.range(20).selectExpr("id a", "id * 2 b", "id c", "date'2024-01-01' d")
+    numbers.repartition(3).createOrReplaceTempView("ex")
     path = tmp_path / "out"
     extract_csv(spark, str(path), "ex", select=["a", "b", "c", "string(d)"], drop=["a", "b"], where="a < 10",
                 limit=100, header=True)

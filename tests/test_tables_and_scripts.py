@@ -121,7 +121,8 @@ def test_scratch_folder(spark):
     shared = {"spark.checkpoint.dir": "hdfs://shared/"}
     first, second = (scratch_path(Session("yarn", **shared), "x") for _ in range(2))
     assert first.startswith("hdfs://shared/tablehaul/x-") and first != second
-    assert scratch_path(Session("local[2]"), "x").rsplit("/", 1)[0] == scratch_path(Session("local"), "y").rsplit("/", 1)[0]
+    local = [scratch_path(Session("local[2]"), name).rsplit("/", 1)[0] for name in "xy"]
+    assert local[0] == local[1]
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Session("yarn"), "x")
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
