@@ -18,13 +18,14 @@ from tablehaul.sources.lines import positioned_lines, read_lines, read_sequence_
 from tablehaul.sources.tables import load_partition, load_table
 from tablehaul.streaming.mapreduce import map_reduce, named
 from tablehaul.streaming.pipes import batched, pipe_from, pipe_into
+from tablehaul.streaming.stages import sum_adjacent, words
 
 __all__ = [
     "batched", "column_list", "dump", "expand_columns", "extract", "extract_csv", "format_lines",
     "line_record", "load_partition", "load_table", "map_reduce", "named", "parse_lines", "pipe_from",
     "pipe_into", "positioned_lines", "read_delimited", "read_lines", "read_sequence_lines", "reduce_by_key", "render",
     "resolve_variables", "result_columns", "result_lines", "run_script", "run_sum", "sql",
-    "table_properties", "table_stats", "to_long_form", "tokenize", "word_count", "write_lines",
+    "sum_adjacent", "table_properties", "table_stats", "to_long_form", "tokenize", "word_count", "words", "write_lines",
 ]
 
 # Functions that run inside tasks travel with the job, so executors need not have this package installed.

@@ -117,10 +117,15 @@ def _totals(batch: pa.RecordBatch, cuts: np.ndarray) -> np.ndarray:
     values = batch.column(batch.num_columns - 1)
     known = pc.is_valid(values).to_numpy(zero_copy_only=False)
     numbers = pc.fill_null(values, 0).to_numpy(zero_copy_only=False)
-    if np.abs(np.add.reduceat(numbers.astype(float), cuts)).max() > 2.0**62:
-        raise OverflowError("the sum of a run does not fit a bigint")
     rows = np.diff([*cuts, len(numbers)])
-    return np.array([np.add.reduceat(numbers, cuts), rows, np.add.reduceat(known.astype(int), cuts)], dtype=np.int64)
+    return np.array([exact_sums(numbers, cuts), rows, np.add.reduceat(known.astype(int), cuts)], dtype=np.int64)
+
+
+def exact_sums(numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of whole numbers that begin at ``starts``."""
+    if np.abs(np.add.reduceat(numbers.astype(float), starts)).max() > 2.0**62:
+        raise OverflowError("the sum of a run does not fit a bigint")
+    return np.add.reduceat(numbers, starts)
 
 
 def _placed(

@@ -9,6 +9,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from tablehaul.sources.scratch import scratch_path
 from tablehaul.sources.tables import load_partition, load_table
 from tablehaul.streaming.mapreduce import map_reduce, named
 from tablehaul.streaming.pipes import batched, pipe_from, pipe_into
+from tablehaul.streaming.stages import sum_adjacent, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -480,12 +482,6 @@ def pipe_into_dataset(spark: SparkSession, folder: str) -> DataFrame:
 # --- map, combine, reduce -------------------------------------------------------------------------
 
 
-def words_of_lines(lines: Iterator[str]) -> Iterable[str]:
-    for line in lines:
-        for word in re.findall(r"\w+", line):
-            yield f"{word}\t1"
-
-
 def sum_adjacent_keys(lines: Iterator[str]) -> Iterable[str]:
     pairs = (line.split("\t")[:2] for line in lines)
     for key, run in groupby(pairs, key=lambda pair: pair[0]):
@@ -522,7 +518,7 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
 @registered(WORD_COUNT_SQL)
 def word_count_job(spark: SparkSession, folder: str) -> DataFrame:
     texts = table(spark, folder, "documents").select("text")
-    counted = map_reduce(spark, texts, mapper=words_of_lines, reducer=sum_adjacent_keys, combiner=True)
+    counted = map_reduce(spark, texts, mapper=words, reducer=sum_adjacent, combiner=True)
     return _key_value(counted, "word", "n")
 
 
@@ -542,7 +538,8 @@ def map_combine_reduce_events(spark: SparkSession, folder: str) -> DataFrame:
     @batched
     def one_per_event(batches):
         for lines in batches:
-            yield lines.str.split("\t", n=1).str[0] + "\t1"
+            event_types = pc.list_element(pc.split_pattern(lines, "\t", max_splits=1), 0)
+            yield pc.binary_join_element_wise(event_types, "1", "\t")
 
     out = scratch_path(spark, "event-counts")
     events = format_lines(table(spark, folder, "events").select("event_type", "props"))

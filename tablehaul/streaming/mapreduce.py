@@ -37,11 +37,11 @@ def map_reduce(
     iterator of lines to lines, or a shell command. The key of a line is the text before its first tab. A
     reducer sees its whole partition, sorted by key, as one stream, so keys never need to fit in memory.
 
-    ``combiner`` folds the lines of each map partition before the shuffle (``True``: with the reducer).
-    With one, a key that holds much of the data reaches its reducer as one line per map partition; without
-    one, all lines of a key stream through one task. ``reduce_tasks=0`` stops after the map; a number without a
-    reducer sorts the lines by key. ``output`` overwrites a dataset with the result, which is then read back from
-    there.
+    ``combiner`` folds the lines of each map partition before the shuffle (``True``: with the reducer); it sees
+    the lines of a key one after another, but keys in no set order. With one, a key that holds much of the data
+    reaches its reducer as one line per map partition; without one, all lines of a key stream through one task.
+    ``reduce_tasks=0`` stops after the map; a number without a reducer sorts the lines by key. ``output``
+    overwrites a dataset with the result, which is then read back from there.
     """
     if isinstance(input, DataFrame):
         lines = input.repartition(map_tasks) if map_tasks else input
@@ -73,7 +73,7 @@ def _reduced(
         return totals.select(F.concat_ws("\t", "key", reducer.reducer).alias("value"))
     lines = lines.toDF("value")
     if combiner is not None:
-        lines = run_stage(_in_key_order(lines), combiner)
+        lines = run_stage(_keys_adjacent(lines), combiner)
     if reducer is None:
         return _sorted_lines(lines, tasks)
     # Only the lines travel: the key is taken from them again on the other side.
@@ -90,5 +90,12 @@ def _sorted_lines(lines: DataFrame, tasks: int | None) -> DataFrame:
     return ranged.sortWithinPartitions(*order).select("value")
 
 
+def _keys_adjacent(lines: DataFrame) -> DataFrame:
+    # A combiner may get the lines of a key in several pieces, so it needs them adjacent, not in key order: a sort
+    # on one number is a radix sort, much cheaper than comparing texts, and two keys with one hash do no harm.
+    hashed = lines.select(F.xxhash64(line_key("value")).alias("hash"), "value")
+    return hashed.sortWithinPartitions("hash").select("value")
+
+
 def _in_key_order(lines: DataFrame) -> DataFrame:
     return lines.select(line_key("value").alias("key"), "value").sortWithinPartitions("key").select("value")

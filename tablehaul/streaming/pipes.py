@@ -37,7 +37,7 @@ def pipe_into(
 
 
 def batched(fn: Callable) -> Callable:
-    """Mark a stage that takes and yields pandas Series of lines instead of single lines."""
+    """Mark a stage that takes and yields Arrow arrays of lines instead of single lines."""
     fn.takes_batches = True
     return fn
 
@@ -54,9 +54,9 @@ def _value_column(lines: DataFrame) -> DataFrame:
 
 
 def _through_callable(fn: Callable):
-    def series(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in fn(b.column(0).to_pandas() for b in batches) or ():
-            yield _batch(pa.array(out, pa.string()))
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(b.column(0) for b in batches) or ():
+            yield _batch(out)
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = iter(fn(line for b in batches for line in b.column(0).to_pylist()) or ())
@@ -64,7 +64,7 @@ def _through_callable(fn: Callable):
             yield _batch(pa.array(chunk, pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from (series if getattr(fn, "takes_batches", False) else single)(batches)
+        yield from (arrays if getattr(fn, "takes_batches", False) else single)(batches)
         for _ in batches:  # a stage need not read all of its input
             pass
 

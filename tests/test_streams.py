@@ -7,12 +7,15 @@ import re
 import sys
 from itertools import groupby
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tablehaul import (
-    batched, map_reduce, named, pipe_from, pipe_into, read_lines, reduce_by_key, run_sum, tokenize, word_count,
+    batched, map_reduce, named, pipe_from, pipe_into, read_lines, reduce_by_key, run_sum, sum_adjacent, tokenize,
+    word_count, words,
 )
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,7 +31,7 @@ def words_of(lines):
             yield f"{word}\t1"
 
 
-def sum_adjacent(lines):
+def sum_lines(lines):
     pairs = (line.split("\t")[:2] for line in lines)
     for key, group in groupby(pairs, key=lambda p: p[0]):
         yield f"{key}\t{sum(int(v) for _, v in group)}"
@@ -43,10 +46,10 @@ def test_tokenize_and_word_count(lines):
     assert {r.word: r.n for r in word_count(lines(*WORDS)).collect()} == COUNTS
 
 
-@pytest.mark.parametrize("combiner", [None, True, sum_adjacent])
+@pytest.mark.parametrize("combiner", [None, True, sum_lines, sum_adjacent])
 @pytest.mark.parametrize("partitions", [1, 3])
 def test_word_count_job(spark, lines, combiner, partitions):
-    out = map_reduce(spark, lines(*WORDS, partitions=partitions), mapper=words_of, reducer=sum_adjacent,
+    out = map_reduce(spark, lines(*WORDS, partitions=partitions), mapper=words_of, reducer=sum_lines,
                      combiner=combiner, reduce_tasks=2)
     assert texts(out) == sorted(f"{k}\t{n}" for k, n in COUNTS.items())
 
@@ -61,7 +64,7 @@ def test_reducers_agree(spark, lines):
     data = lines(*[f"{k}\t{v}" for k, v in pairs], partitions=4).persist()
     awk = "awk -F'\\t' 'NR>1 && $1!=k {print k\"\\t\"s; s=0} {k=$1; s+=$2} END {if (NR) print k\"\\t\"s}'"
     for n in (1, 3, 7):
-        assert texts(map_reduce(spark, data, reducer=sum_adjacent, reduce_tasks=n)) == want
+        assert texts(map_reduce(spark, data, reducer=sum_lines, reduce_tasks=n)) == want
         assert texts(map_reduce(spark, data, reducer=awk, combiner=True, reduce_tasks=n)) == want
     assert texts(map_reduce(spark, data, reducer=named("sum"))) == want
     typed = data.selectExpr("split(value, '\t')[0] k", "int(split(value, '\t')[1]) v")
@@ -84,7 +87,7 @@ def test_map_only_command_and_batches(spark, lines):
     @batched
     def upper(batches):
         for lines in batches:
-            yield lines.str.upper()
+            yield pc.utf8_upper(lines)
 
     assert texts(map_reduce(spark, lines("b", "a"), mapper=upper)) == ["A", "B"]
 
@@ -104,7 +107,7 @@ def test_paths_tasks_and_output(spark, tmp_path):
     out = str(tmp_path / "out")
     inputs = [str(tmp_path / "x"), str(tmp_path / "y")]
     for tasks in (1, 5):
-        got = map_reduce(spark, inputs, out, mapper=words_of, reducer=sum_adjacent, combiner=True,
+        got = map_reduce(spark, inputs, out, mapper=words_of, reducer=sum_lines, combiner=True,
                          map_tasks=tasks, reduce_tasks=1)
         assert texts(got) == ["w\t12"]
     assert texts(read_lines(spark, out)) == ["w\t12"]
@@ -215,11 +218,30 @@ def test_combiner_shrinks_a_hot_key_before_the_shuffle(spark, lines):
             yield f"{key}\t{sum(1 for _ in group)}"
 
     data = lines(*["hot\t1"] * 3000, *[f"k{i}\t1" for i in range(500)], partitions=3)
-    seen = dict(t.split("\t") for t in texts(map_reduce(spark, data, reducer=count_lines, combiner=sum_adjacent)))
+    seen = dict(t.split("\t") for t in texts(map_reduce(spark, data, reducer=count_lines, combiner=sum_lines)))
     assert int(seen["hot"]) <= 3 and set(seen.values()) <= {"1", "2", "3"}
 
 
 def test_reducer_partitioning_keeps_keys_whole(spark, lines):
     data = lines(*[f"{k}\t{i}" for i in range(50) for k in "abcdefgh"], partitions=5)
-    out = texts(map_reduce(spark, data, reducer=sum_adjacent, reduce_tasks=3))
+    out = texts(map_reduce(spark, data, reducer=sum_lines, reduce_tasks=3))
     assert out == [f"{k}\t{sum(range(50))}" for k in "abcdefgh"]
+
+
+def test_ready_made_stages(spark, lines):
+    out = map_reduce(spark, lines(*WORDS, partitions=3), mapper=words, reducer=sum_adjacent, combiner=True)
+    assert texts(out) == sorted(f"{k}\t{n}" for k, n in COUNTS.items())
+    runs = map_reduce(spark, lines("a\t1\tx", "a\t2", "b\t3", "a\t4"), mapper=sum_adjacent)
+    assert [r[0] for r in runs.collect()] == ["a\t3", "b\t3", "a\t4"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_sum_adjacent_over_batches(size):
+    rnd = random.Random(size)
+    data = [f"{rnd.choice('aab')}\t{rnd.randint(-3, 9)}" for _ in range(200)]
+    batches = [pa.array(data[i : i + size]) for i in range(0, len(data), size)]
+    got = [line for out in sum_adjacent(iter([pa.array([], pa.string()), *batches])) for line in out.to_pylist()]
+    assert got == list(sum_lines(data))
+    assert list(sum_adjacent(iter([]))) == []
+    with pytest.raises(OverflowError):
+        list(sum_adjacent(iter([pa.array([f"a\t{2**62}", f"a\t{2**62}"])])))
