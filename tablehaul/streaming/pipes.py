@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import subprocess
 from collections.abc import Callable, Collection, Iterable, Iterator
+from contextlib import suppress
 from itertools import islice
 from threading import Thread
 
@@ -95,16 +96,17 @@ def _through_command(command: str, ok_codes: frozenset[int]):
 
 def _feed(batches: Iterator[pa.RecordBatch], stdin, failures: list[BaseException]) -> None:
     try:
-        try:
-            for batch in batches:
-                if batch.num_rows:
-                    stdin.write(("\n".join(batch.column(0).to_pylist()) + "\n").encode())
-            stdin.close()
-        except BrokenPipeError:  # the command stopped reading, as head does
-            for _ in batches:
-                pass
+        for batch in batches:
+            if batch.num_rows:
+                stdin.write(("\n".join(batch.column(0).to_pylist()) + "\n").encode())
+    except BrokenPipeError:  # the command stopped reading, as head does
+        for _ in batches:
+            pass
     except BaseException as failure:  # noqa: BLE001 - raised again by the task's own thread
         failures.append(failure)
+    finally:
+        with suppress(BrokenPipeError):
+            stdin.close()  # the command waits for this end, whatever happened
 
 
 def _whole_lines(stdout) -> Iterator[bytes]:

@@ -135,6 +135,16 @@ def test_pipes(spark, lines, tmp_path):
     assert texts(read_lines(spark, str(tmp_path / "o"))) == sorted(["AB", "B", "", "çA"])
 
 
+def test_pipe_behind_a_failing_stage_ends(spark, lines):
+    def fail(lines):
+        for line in lines:
+            yield str(int(line))
+
+    failing = map_reduce(spark, lines("1", "x"), mapper=fail)
+    with pytest.raises(Exception, match="invalid literal"):
+        pipe_from(failing, "sort").collect()
+
+
 def test_pipe_of_much_data(spark, lines):
     big = spark.range(200_000).selectExpr("concat(id, repeat('x', 50)) value")
     assert pipe_from(big, "cat").distinct().count() == 200_000
