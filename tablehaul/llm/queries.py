@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehaul.llm.decontaminate import find_leaks
+from tablehaul.llm.jaccard import Similarity, jaccard_groups
 from tablehaul.llm.language import fit_language, identify_language
 from tablehaul.llm.packing import pack_documents
 from tablehaul.llm.quality import fit_quality, judge_quality
+from tablehaul.llm.scoring import score_documents
 from tablehaul.llm.shards import shard_documents
+from tablehaul.llm.spans import remove_repeated_spans
 from tablehaul.llm.tokens import count_tokens
 from tablehaul.llm.urls import BLOCK, Rule, filter_urls, host_rule
 
@@ -76,11 +80,27 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(pages, LISTED + PATTERNS).select("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
+@registered()
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@registered()
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents"), Similarity(size=3, percent=90))
+
+
 @registered()
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@registered()
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = with_remainder(table(spark, folder, "documents").select("doc_id", "text"), 7, "fold")
+    return score_documents(documents.select("doc_id", "text", (F.col("fold") == 2).alias("held_out")))
+
+
 @registered()
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
@@ -88,6 +108,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(documents.select("doc_id", "text"), trees).drop("text")
 
 
+@registered()
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The text of every document without repeated spans, and how many sentences it had and lost."""
+    return remove_repeated_spans(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @registered()
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")

@@ -1,0 +1,215 @@
+"""Jaccard join, spans and components against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from tablehaul.llm.components import connected
+from tablehaul.llm.jaccard import Similarity, jaccard_groups, trie_links
+from tablehaul.llm.spans import remove_repeated_spans
+
+BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingles(text, size):
+    words = BLANKS.findall(lowered(text))
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def groups_by_force(rows, rule):
+    sets = [shingles(t, rule.size) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= rule.percent * len(sets[a] | sets[b]):
+            parent[root(a)] = root(b)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        own = [rows[j][0] for j in range(len(rows)) if root(j) == root(i) and rows[j][0] is not None] if sets[i] else [doc]
+        out.append((doc, len(sets[i]), min(own) if own and own[0] is not None else None))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=str)
+
+
+def near_copies(rnd, n, length, changes):
+    vocabulary = [f"w{i}" for i in range(60)]
+    base = [[rnd.choice(vocabulary) for _ in range(rnd.randint(3, length))] for _ in range(max(1, n // 6))]
+    out = []
+    for i in range(n):
+        words = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, changes)):
+            words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+        out.append((i * 3, " ".join(words)))
+    rnd.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("rule", [Similarity(3, 90), Similarity(5, 80), Similarity(1, 50), Similarity(2, 100)])
+def test_groups_of_near_copies(docs, rule):
+    rows = near_copies(random.Random(rule.size), 120, 60, 3) + [(1000, "w1 w2"), (1001, "W1\nw2"), (1002, "w9"), (1003, None)]
+    assert got(jaccard_groups(docs(rows), rule)) == groups_by_force(rows, rule)
+
+
+def test_groups_of_tables(docs, texts):
+    rule = Similarity(3, 90)
+    assert got(jaccard_groups(docs(texts), rule)) == groups_by_force(texts, rule)
+
+
+def test_groups_of_odd_rows(docs, odd_rows, spark):
+    rule = Similarity()
+    assert got(jaccard_groups(docs(odd_rows), rule)) == groups_by_force(odd_rows, rule)
+    assert jaccard_groups(docs([])).collect() == []
+
+
+def test_small_tiles_find_the_same_links(docs, monkeypatch):
+    import tablehaul.llm.jaccard as module
+
+    rows = near_copies(random.Random(9), 90, 40, 3)
+    monkeypatch.setattr(module, "TILE_SHINGLES", 150)
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    assert got(jaccard_groups(docs(rows), Similarity(2, 60))) == groups_by_force(rows, Similarity(2, 60))
+
+
+def test_trie_links_join_what_brute_force_joins(monkeypatch):
+    import tablehaul.llm.jaccard as module
+
+    rnd = random.Random(3)
+    for trial in range(60):
+        monkeypatch.setattr(module, "TABLE_CELLS", rnd.choice([40, 1 << 20]))
+        sets = [np.unique(np.array([rnd.randrange(30) for _ in range(rnd.randint(1, 25))], np.uint64)) for _ in range(25)]
+        rule = Similarity(1, rnd.choice([50, 80, 90]))
+        half = trial % 2
+        probes, kept = (np.arange(12), np.arange(12, 25)) if half else (np.arange(25), np.arange(25))
+        found = trie_links(sets, np.array([len(s) for s in sets]), probes, kept, rule)
+        parent = list(range(25))
+
+        def root(i, parent):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        mine, theirs = list(parent), list(parent)
+        for a, b in found:
+            mine[root(a, mine)] = root(b, mine)
+        for a in probes:
+            for b in kept:
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if a != b and 100 * both >= rule.percent * (len(sets[a]) + len(sets[b]) - both):
+                    theirs[root(a, theirs)] = root(b, theirs)
+        same = lambda p: [[root(i, p) == root(j, p) for j in range(25)] for i in range(25)]
+        assert same(mine) == same(theirs)
+
+
+def test_components(spark):
+    rnd = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(70)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    found = {r["node"]: r["label"] for r in connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {x: root(x) for e in edges for x in e if any(x in f and f[0] != f[1] for f in edges)}
+    assert connected(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+# --- spans ------------------------------------------------------------------------------------------
+
+
+def sentences_by_force(text):
+    """(text with the white space after it, its lower-case words)."""
+    words = list(BLANKS.finditer(text or ""))
+    starts = [0] if words else []
+    for k in range(1, len(words)):
+        before = words[k - 1][0]
+        closed = before[-2] if before[-1] in "\"')]" and len(before.encode()) > 1 else before[-1]
+        if closed in ".!?" or "\n" in text[words[k - 1].end() : words[k].start()]:
+            starts.append(k)
+    ends = starts[1:] + [len(words)]
+    at = [words[s].start() for s in starts] + [len(text or "")]
+    return [(text[at[i] : at[i + 1]], [lowered(w[0]) for w in words[s:e]]) for i, (s, e) in enumerate(zip(starts, ends))]
+
+
+def spans_by_force(rows):
+    heads, found = {}, []
+    split = [sentences_by_force(t) for _, t in rows]
+    for row, (doc, _) in enumerate(rows):
+        for b in range(len(split[row])):
+            words = []
+            for e in range(b, len(split[row])):
+                words += split[row][e][1]
+                if (e > b and len(words) >= 20) or len(words) >= 40:
+                    at = (doc if doc is not None else -1, b)
+                    heads[tuple(words)] = min(heads.get(tuple(words), at), at)
+                    found.append((row, b, e, tuple(words), at))
+                    break
+    gone = {}
+    for row, b, e, words, at in found:
+        if heads[words] != at:
+            gone.setdefault((rows[row][0]), set()).update(range(b, e + 1))
+    out = []
+    for (doc, text), own in zip(rows, split):
+        lost = [k for k in range(len(own)) if k in gone.get(doc, ())]
+        if text is not None and lost:
+            lead = text[: len(text) - len("".join(s for s, _ in own))]
+            kept = [s for k, (s, _) in enumerate(own) if k not in lost]
+            text = lead + "".join(kept) if kept else ""
+        out.append((doc, text, len(own), len(lost)))
+    return sorted(out, key=str)
+
+
+def spans_of(df):
+    return sorted(((r["doc_id"], r["text"], r["n_sentences"], r["n_removed"]) for r in df.collect()), key=str)
+
+
+def test_spans_of_tables(docs, texts):
+    assert spans_of(remove_repeated_spans(docs(texts))) == spans_by_force(texts)
+
+
+def test_spans_of_made_texts(docs):
+    rnd = random.Random(8)
+    stock = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(rnd.randint(1, 14))) + rnd.choice([".", "!", "?\"", ""]) for _ in range(12)]
+    rows = [(i, rnd.choice(["", "  "]) + rnd.choice([" ", "\n", "  "]).join(rnd.choice(stock) for _ in range(rnd.randint(0, 9)))) for i in range(60)]
+    assert spans_of(remove_repeated_spans(docs(rows))) == spans_by_force(rows)
+
+
+def test_spans_of_odd_rows(docs, odd_rows):
+    rows = [r for r in odd_rows if r[0] is not None]
+    assert spans_of(remove_repeated_spans(docs(rows))) == spans_by_force(rows)
+    out = remove_repeated_spans(docs(odd_rows))
+    assert out.count() == len(odd_rows) and {"lang", "block", "hash"} <= set(out.columns)
+    assert remove_repeated_spans(docs([])).collect() == []
+
+
+def test_long_passage_goes_from_all_but_the_first(docs):
+    passage = "First we say this here at some length. Then we go on to say that. It all goes on for quite some time. " \
+        "There is always another sentence to be said. And so it ends after more than fifty words, as is only fitting now."
+    rows = [(i, f"Own start {i} of it all. {passage} Own end {i}.") for i in range(40)]
+    out = {r["doc_id"]: r["text"] for r in remove_repeated_spans(docs(rows)).collect()}
+    assert out[0] == rows[0][1]
+    assert all(out[i] == f"Own start {i} of it all. Own end {i}." for i in range(1, 40))
