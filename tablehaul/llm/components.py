@@ -10,6 +10,8 @@ from tablehaul.sources.scratch import scratch_path
 #: A key is hot from this part of all rows on. There can't be more hot keys than this number, so they may be broadcast.
 HOT_PART = 1000
 MOST_ROUNDS = 60
+#: Ids up to this number are broadcast to find their rows; more are joined by shuffle.
+BROADCAST_IDS = 200_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -32,6 +34,13 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total:
     return with_hot.unionByName(others.join(keyed.where(~hot), key, how))
 
 
+def rows_by_id(docs: DataFrame, ids: DataFrame, inside: bool) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is among ``ids`` (doc_id), or is not; a null id only equals a null id."""
+    ids = ids.select(F.col("doc_id").alias("_wanted")).distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi" if inside else "left_anti")
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes of ``edges`` (a, b): label is the smallest node of the connected component.
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablehaul.llm.components import rows_by_id
+
 #: Words in a window, and how many of them must be no placeholders.
 WINDOW = 8
 LEAST_LITERALS = 5
@@ -18,8 +20,6 @@ LEAST_LITERALS = 5
 LEAST_SHARE = 0.5
 #: Windows of the benchmark up to this number are broadcast, about 100 bytes each; more are joined by shuffle.
 BROADCAST_WINDOWS = 200_000
-#: Documents (ids only) up to this number are broadcast when they are taken out.
-BROADCAST_DOCS = 200_000
 #: Words that are units after a number.
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg lb lbs ounce ounces ton tons ml cl l liter liters "
@@ -118,6 +118,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
 
 def remove_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id has no leak, with all their columns; a null id only matches a null id."""
-    ids = leaks.select(F.col("doc_id").alias("_leaked")).distinct()
-    few = ids.limit(BROADCAST_DOCS + 1).count() <= BROADCAST_DOCS
-    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    return rows_by_id(docs, leaks, inside=False)
