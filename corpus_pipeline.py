@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablehaul.llm.components import stored
+from tablehaul.llm.components import rows_by_id, stored
 from tablehaul.llm.decontaminate import find_leaks, remove_leaks
 from tablehaul.llm.jaccard import Similarity, jaccard_groups
 from tablehaul.llm.packing import pack_documents
@@ -35,13 +35,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that share a doc_id one stays, the one with the smallest text. Rows without a doc_id or without a word are
     in no group; they stay.
     """
-    groups = jaccard_groups(docs, NEAR)
-    heads = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(heads, F.col("doc_id") == F.col("_head"), "left_semi")
-    others = [F.col(c) for c in docs.columns if c != "doc_id"]
-    once = named.groupBy("doc_id").agg(F.min_by(F.struct(*others), F.struct(F.col("text").isNull(), "text")).alias("row"))
-    kept = once.select("doc_id", "row.*").select(docs.columns)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    groups = stored(jaccard_groups(docs, NEAR).select("doc_id", "component_id"), "groups")
+    kept = rows_by_id(docs, groups.where("doc_id <> component_id"), inside=False)
+    again = stored(groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    others = F.struct(*[F.col(c) for c in docs.columns if c != "doc_id"])
+    smallest = F.struct(F.col("text").isNull(), "text")
+    repeated = rows_by_id(kept, again, inside=True).groupBy("doc_id").agg(F.min_by(others, smallest).alias("row"))
+    return rows_by_id(kept, again, inside=False).unionByName(repeated.select("doc_id", "row.*").select(docs.columns))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
