@@ -80,8 +80,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     """(doc_id, item_id, n_windows, n_found, n_exact, share, changed) of documents with a benchmark item in them.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Windows of a document count for an item if they lie in
-    one copy (equal distance of the positions) whose changes are consistent; ``changed`` says that no found window has
-    the item's own values. Items with fewer than ``WINDOW`` words, and windows with fewer than ``LEAST_LITERALS`` words
+    one copy (equal distance of the positions) whose changes are consistent; ``changed`` says that some found window has
+    other values than the item's own. Items with fewer than ``WINDOW`` words, and windows with fewer than ``LEAST_LITERALS`` words
     that aren't placeholders, are no evidence. Null and empty texts have no window. Rows with the same doc_id count as
     one document, null ids as another one. Other columns are not looked at.
     """
@@ -112,7 +112,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     total = F.least("n", "n_windows")
     return leaks.select(
         "doc_id", "item_id", "n_windows", total.alias("n_found"), F.least("exact", "n_windows").alias("n_exact"),
-        (total / F.col("n_windows")).alias("share"), (F.col("exact") == 0).alias("changed"),
+        (total / F.col("n_windows")).alias("share"), (F.least("exact", "n_windows") < total).alias("changed"),
     ).where(F.col("share") >= least_share)
 
 

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 #: Rows ranked together in a task; more rows make more parts.
 PART_ROWS = 8192
+#: The order of a source's rows; times the number of parts it fits a bigint.
+HASH_BITS = 40
 
 
 def _hash(seed: int) -> Column:
-    return F.xxhash64("doc_id", F.lit(seed))
+    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << HASH_BITS))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 0, part_rows: int = PART_ROWS) -> DataFrame:
@@ -32,7 +34,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 0, part_rows:
     parts = max(1, -(-n // part_rows))
     key = F.col("_hash")
     stratum = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    rows = docs.withColumn("_stratum", stratum).withColumn("_hash", _hash(seed)).withColumn("_part", F.pmod(F.shiftright(key, 20), F.lit(parts)))
+    rows = docs.withColumn("_stratum", stratum).withColumn("_hash", _hash(seed)).withColumn("_part", F.shiftright(key * parts, HASH_BITS))
     # A small table of counts: sources x parts, at most a row for each document.
     sizes = rows.groupBy("_stratum", "_part").agg(F.count("*").alias("_size"))
     in_source = Window.partitionBy("_stratum").orderBy("_part")
