@@ -26,10 +26,10 @@ SEQUENCE = 2048
 END_ID = 0
 #: Documents whose last pieces are packed together.
 GROUP_DOCS = 20_000
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 12 << 20
 UNITS_PER_STRING = 400
 #: Units that a Python worker remembers, about 200 bytes each.
-UNITS_KEPT = 600_000
+UNITS_KEPT = 400_000
 
 
 @cache
