@@ -14,7 +14,7 @@ import pyarrow as pa
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are handled at once; a longer text is a batch of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
 
