@@ -24,7 +24,7 @@ from tablehaul.llm.textarrays import byte_slices, distinct_by_text, mixed, windo
 
 #: Bytes of entries in a bucket, and shingles of the sets in a tile.
 BUCKET_BYTES = 24 << 20
-TILE_SHINGLES = 3_000_000
+TILE_SHINGLES = 1_000_000
 #: Cells of the membership table of probes and shingles.
 TABLE_CELLS = 32 << 20
 #: Representatives (a few numbers each) that may be broadcast; more are joined by shuffle.
