@@ -8,13 +8,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.sources.scratch import scratch_path
 
-_PLACE = "_part int, _fragment long, _edge boolean, total long, rows long, _numbers long"
+_PLACE = "_part int, _fragment long, _edge boolean, _high long, _low long, rows long, _numbers long"
+#: Sums are kept in two halves: the numbers' upper bits, and their lower bits so many.
+LOW_BITS = 32
 
 
 def run_sum(
@@ -32,24 +34,36 @@ def run_sum(
 
     Data is cut by ranges of the order itself, so neither one huge partition value nor a global order ends
     up in one task. Each range yields fragments of runs; only the first and last fragment of a range can
-    continue in a neighbour, and these (two per range at most) are stitched together. The fragments are
+    continue in a neighbour, and these (two per range at most) are stitched together. Rows that tie in all of it are
+    spread over ranges too. Sums are exact; one that does not fit a bigint fails the job. The fragments are
     written to ``scratch`` once, as both steps read them and must see the same ranges.
     """
     spark = df.sparkSession
     group, order = [*partition_by, key], [o for o in order_by if o not in (*partition_by, key)]
     ranges = list(dict.fromkeys([*partition_by, *order_by, key]))
     rows = df.select(*group, *order, F.col(value).cast("bigint").alias("_value"))
-    placed = rows.repartitionByRange(*ranges).sortWithinPartitions(*ranges)
+    spread = rows.withColumn("_tie", F.monotonically_increasing_id())
+    placed = spread.repartitionByRange(*ranges, "_tie").drop("_tie").sortWithinPartitions(*ranges)
     schema = T.StructType([*df.select(*group, *order).schema, *T.StructType.fromDDL(_PLACE)])
     path = scratch or scratch_path(spark, "runs")
     placed.mapInArrow(_fragments(len(group)), schema).write.mode("overwrite").parquet(path)
 
     fragments = spark.read.schema(schema).parquet(path)
-    result = [*group, *order, F.when(F.col("_numbers") > 0, F.col("total")).alias("total"), "rows"]
+    result = [*group, *order, F.when(F.col("_numbers") > 0, _joined_halves()).alias("total"), "rows"]
     inner = fragments.where(~F.col("_edge"))
     return inner.select(*result).unionAll(_stitched(fragments.where("_edge"), group, order).select(*result))
 
 
+def _joined_halves() -> Column:
+    """The sum that two halves stand for."""
+    high = F.col("_high") + F.shiftright("_low", LOW_BITS)
+    fits = high.between(-(1 << 31), (1 << 31) - 1)
+    low = F.col("_low").bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    return F.when(fits, F.shiftleft(high, LOW_BITS).bitwiseOR(low)).otherwise(
+        F.raise_error(F.lit("the sum of a run does not fit a bigint")).cast("bigint")
+    )
+
+
 def _stitched(edges: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     # One window over all edges: at most two rows per range, a number set by the partition count, not the data.
     line = Window.orderBy("_part", "_fragment")
@@ -62,7 +76,7 @@ def _stitched(edges: DataFrame, group: list[str], order: list[str]) -> DataFrame
     place = F.struct("_part", "_fragment")
     return numbered.groupBy("_run").agg(
         *[F.min_by(c, place).alias(c) for c in group + order],
-        *[F.sum(c).alias(c) for c in ("total", "rows", "_numbers")],
+        *[F.sum(c).alias(c) for c in ("_high", "_low", "rows", "_numbers")],
     )
 
 
@@ -118,14 +132,24 @@ def _totals(batch: pa.RecordBatch, cuts: np.ndarray) -> np.ndarray:
     known = pc.is_valid(values).to_numpy(zero_copy_only=False)
     numbers = pc.fill_null(values, 0).to_numpy(zero_copy_only=False)
     rows = np.diff([*cuts, len(numbers)])
-    return np.array([exact_sums(numbers, cuts), rows, np.add.reduceat(known.astype(int), cuts)], dtype=np.int64)
+    return np.array([*half_sums(numbers, cuts), rows, np.add.reduceat(known.astype(int), cuts)], dtype=np.int64)
+
+
+def half_sums(numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the stretches of whole numbers that begin at ``starts``, in two halves that can't overflow.
+
+    Each number is ``high * 2**LOW_BITS + low``; some two thousand million of them may be added up.
+    """
+    low = numbers & ((1 << LOW_BITS) - 1)
+    return np.add.reduceat(numbers >> LOW_BITS, starts), np.add.reduceat(low, starts)
 
 
-def exact_sums(numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def exact_sums(numbers: np.ndarray, starts: np.ndarray) -> list[int]:
     """Sums of the stretches of whole numbers that begin at ``starts``."""
-    if np.abs(np.add.reduceat(numbers.astype(float), starts)).max() > 2.0**62:
-        raise OverflowError("the sum of a run does not fit a bigint")
-    return np.add.reduceat(numbers, starts)
+    high, low = half_sums(numbers, starts)
+    if not ((high + (low >> LOW_BITS) >= 1 << 31) | (high + (low >> LOW_BITS) < -(1 << 31))).any():
+        return ((high << LOW_BITS) + low).tolist()
+    return [(h << LOW_BITS) + l for h, l in zip(high.tolist(), low.tolist(), strict=True)]
 
 
 def _placed(
@@ -141,5 +165,5 @@ def _placed(
         pa.array(edge),
         *[pa.array(row, pa.int64()) for row in totals],
     ]
-    names = [*heads.schema.names, "_part", "_fragment", "_edge", "total", "rows", "_numbers"]
+    names = [*heads.schema.names, "_part", "_fragment", "_edge", "_high", "_low", "rows", "_numbers"]
     return pa.RecordBatch.from_arrays([*heads.columns, *place], names)

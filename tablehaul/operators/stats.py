@@ -11,6 +11,13 @@ from pyspark.sql import types as T
 _UNORDERED = (T.MapType, T.VariantType)
 
 
+def _unordered(dtype: T.DataType) -> bool:
+    """Whether values of a type have no order, or hold some that have none."""
+    if isinstance(dtype, T.StructType):
+        return any(_unordered(f.dataType) for f in dtype)
+    return _unordered(dtype.elementType) if isinstance(dtype, T.ArrayType) else isinstance(dtype, _UNORDERED)
+
+
 def table_stats(df: DataFrame) -> DataFrame:
     """One row per column of a file-backed table: row and NULL counts, min and max as text, files and bytes.
 
@@ -25,7 +32,7 @@ def table_stats(df: DataFrame) -> DataFrame:
     )
 
     def extreme(aggregate: Callable[[Column], Column], name: str) -> Column:
-        return F.lit(None).cast("string") if isinstance(kinds[name], _UNORDERED) else (
+        return F.lit(None).cast("string") if _unordered(kinds[name]) else (
             aggregate(_col(name)).cast("string")
         )
 

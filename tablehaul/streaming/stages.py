@@ -44,9 +44,15 @@ def sum_adjacent(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if heads[0].as_py() == open_key:
             sums[0] += open_sum
         elif open_key is not None:
-            yield pa.array([f"{open_key}\t{open_sum}"])
-        open_key, open_sum = heads[-1].as_py(), int(sums[-1])
-        texts = pa.array(sums[:-1]).cast(pa.string())
+            yield pa.array([f"{open_key}\t{_checked([open_sum])[0]}"])
+        open_key, open_sum = heads[-1].as_py(), sums[-1]
+        texts = pa.array(_checked(sums[:-1]), pa.int64()).cast(pa.string())
         yield pc.binary_join_element_wise(heads.slice(0, len(heads) - 1), texts, "\t")
     if open_key is not None:
-        yield pa.array([f"{open_key}\t{open_sum}"])
+        yield pa.array([f"{open_key}\t{_checked([open_sum])[0]}"])
+
+
+def _checked(sums: list[int]) -> list[int]:
+    if any(not -(1 << 63) <= s < 1 << 63 for s in sums):
+        raise OverflowError("the sum of a run does not fit a bigint")
+    return sums
