@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def column_list(df: DataFrame) -> str:
@@ -11,10 +12,17 @@ def column_list(df: DataFrame) -> str:
 
 
 def expand_columns(shorthand: str, default: str = "string", types: str = "") -> str:
-    """Expand ``"a b:i"`` with ``types="i:bigint"`` to ``"a string,  b bigint"``.
+    """Expand ``"a b:i"`` with ``types="i:bigint"`` to ``"a string, b bigint"``.
 
     A code missing from ``types`` means the default type.
     """
     by_code = dict(entry.split(":", 1) for entry in types.split())
     named = (entry.partition(":") for entry in shorthand.split())
-    return ",  ".join(f"{name} {by_code.get(code, default)}" for name, _, code in named)
+    return ", ".join(f"{name} {by_code.get(code, default)}" for name, _, code in named)
+
+
+def the_column(lines: DataFrame) -> Column:
+    """The one column of a DataFrame of lines."""
+    if len(lines.columns) != 1:
+        raise ValueError(f"lines have one column, not {lines.columns}")
+    return F.col("`" + lines.columns[0].replace("`", "``") + "`")

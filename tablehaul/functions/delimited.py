@@ -19,6 +19,8 @@ from tablehaul.functions.text import quoted
 
 # NULL marker, and the separators of the levels below the three a caller names.
 NULL_TEXT = r"\N"
+# Our own code of an empty collection in escaped text.
+EMPTY_TEXT = r"\E"
 DEEPER_LEVELS = ("\x04", "\x05", "\x06", "\x07", "\x08")
 
 # Accepted text of a whole number (a fraction is cut off), a date, and a timestamp.
@@ -33,9 +35,6 @@ PLAIN_VALUE_TEXT = set("0123456789+-.:eE NaInfitytruefals")
 WHOLE_NUMBER_BOUNDS = {T.ByteType: 1 << 7, T.ShortType: 1 << 15, T.IntegerType: 1 << 31}
 SAFE_LENGTH = 18
 
-# Columns up to which a projection fits one compiled method.
-NARROW_ROW = 12
-
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TEXT = (T.StringType, T.VarcharType, T.CharType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
@@ -63,6 +62,14 @@ class Separators:
     def levels(self) -> tuple[str, ...]:
         return tuple(_spelled(s) for s in (self.sep, self.csep, self.ksep)) + DEEPER_LEVELS
 
+    def null(self, level: int) -> str:
+        """The text of NULL. In escaped text the depth is part of it, so an array of one NULL is not a NULL array."""
+        return f"{NULL_TEXT}{level}" if self.escaped and level > 1 else NULL_TEXT
+
+    def empty(self, level: int) -> str:
+        """The text of an empty collection. In escaped text it isn't that of one empty item."""
+        return f"{EMPTY_TEXT}{level}" if self.escaped else ""
+
     def at(self, level: int) -> str:
         if level >= len(self.levels):
             raise ValueError(f"values may be nested {len(self.levels)} levels deep at most")
@@ -78,17 +85,6 @@ def _spelled(sep: str) -> str:
     return chr(int(octal[1], 8)) if octal else sep
 
 
-def outside_whole_stage(columns: list[Column]) -> list[Column]:
-    """Keep a wide projection out of whole-stage code generation.
-
-    A whole stage puts a row into one method; past some dozen columns that method is too large for the JIT
-    compiler and runs interpreted. A higher-order function makes Spark generate a projection of small methods.
-    """
-    if len(columns) <= NARROW_ROW:
-        return columns
-    return [_let(columns[0], lambda x: x), *columns[1:]]
-
-
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind a value once for a body that names it several times."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -117,15 +113,15 @@ def parse_steps(schema: T.StructType, seps: Separators) -> list[list[Column]]:
 
 
 def _step(columns: list[Column], names: list[str]) -> list[Column]:
-    return [c.alias(n) for c, n in zip(outside_whole_stage(columns), names, strict=True)]
+    return [c.alias(n) for c, n in zip(columns, names, strict=True)]
 
 
 def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
     """The typed value of a piece of text; NULL where the text does not spell one."""
     if isinstance(dtype, _TEXT + _NESTED):
-        text = F.when(text != NULL_TEXT, text)  # no other type reads the marker as a value
+        text = F.when(text != seps.null(level), text)  # no other type reads the marker as a value
     if isinstance(dtype, T.ArrayType):
-        parts = _split_nonempty(text, seps.at(level))
+        parts = _split_nonempty(text, seps, level)
         return F.transform(parts, lambda x: parse_value(x, dtype.elementType, seps, level + 1))
     if isinstance(dtype, T.MapType):
         return _parse_map(text, dtype, seps, level)
@@ -194,10 +190,10 @@ def _no_outer_blanks(text: Column) -> Column:
     return (F.substring(text, 1, 1) > " ") & (last >= "!") & (last <= "~")
 
 
-def _split_nonempty(text: Column, sep: str) -> Column:
-    """Empty text is an empty collection, not a collection of one empty item."""
+def _split_nonempty(text: Column, seps: Separators, level: int) -> Column:
+    """Empty text is an empty collection, not a collection of one empty item; escaped text has a code for it."""
     empty = F.array().cast("array<string>")
-    return F.when(text == "", empty).otherwise(F.split(text, quoted(sep), -1))
+    return F.when(text == seps.empty(level), empty).otherwise(F.split(text, quoted(seps.at(level)), -1))
 
 
 def _parse_map(text: Column, dtype: T.MapType, seps: Separators, level: int) -> Column:
@@ -215,12 +211,19 @@ def _parse_map(text: Column, dtype: T.MapType, seps: Separators, level: int) ->
         )
 
     def first_wins(entries: Column) -> Column:
-        # Only rows that do repeat a key pay for the search.
+        # Only rows that do repeat a key pay for the sort: by key and place, the first of each key stays.
         keys = F.transform(entries, lambda e: e["key"])
-        kept = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+        placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"))))
+
+        def heads(sorted_keys: Column) -> Column:
+            before = lambda i: F.get(sorted_keys, i - 1)["key"]
+            return F.filter(sorted_keys, lambda x, i: (i == 0) | ~x["key"].eqNullSafe(before(i)))
+
+        places = F.array_sort(F.transform(_let(placed, heads), lambda x: x["at"]))
+        kept = F.transform(places, lambda i: F.get(entries, i))
         return F.when(F.size(F.array_distinct(keys)) < F.size(keys), kept).otherwise(entries)
 
-    entries = F.transform(_split_nonempty(text, seps.at(level)), entry)
+    entries = F.transform(_split_nonempty(text, seps, level), entry)
     return F.map_from_entries(_let(F.filter(entries, lambda e: e["key"].isNotNull()), first_wins))
 
 
@@ -239,13 +242,14 @@ def _name(name: str) -> str:
 
 
 def format_value(value: Column, dtype: T.DataType, seps: Separators, level: int) -> Column:
-    r"""The text of a value, ``\N`` for NULL."""
+    r"""The text of a value, ``\N`` for NULL; escaped text has the depth after it inside of collections."""
     if isinstance(dtype, T.ArrayType):
         if _is_plain(dtype.elementType, seps, level + 1):
-            text = F.array_join(value.cast("array<string>"), seps.at(level), NULL_TEXT)
+            text = F.array_join(value.cast("array<string>"), seps.at(level), seps.null(level + 1))
         else:
             items = F.transform(value, lambda x: format_value(x, dtype.elementType, seps, level + 1))
             text = F.array_join(items, seps.at(level))
+        text = _marked_empty(text, value, seps, level)
     elif isinstance(dtype, T.MapType):
         entries = F.transform(
             F.map_entries(value),
@@ -255,13 +259,17 @@ def format_value(value: Column, dtype: T.DataType, seps: Separators, level: int)
                 format_value(e["value"], dtype.valueType, seps, level + 2),
             ),
         )
-        text = F.array_join(entries, seps.at(level))
+        text = _marked_empty(F.array_join(entries, seps.at(level)), value, seps, level)
     elif isinstance(dtype, T.StructType):
         fields = [format_value(value[f.name], f.dataType, seps, level + 1) for f in dtype]
         text = F.when(value.isNotNull(), F.concat_ws(seps.at(level), *fields))
     else:
         text = _encoded(_scalar_text(value, dtype), dtype, seps, level)
-    return F.coalesce(text, F.lit(NULL_TEXT))
+    return F.coalesce(text, F.lit(seps.null(level)))
+
+
+def _marked_empty(text: Column, value: Column, seps: Separators, level: int) -> Column:
+    return F.when(F.size(value) == 0, F.lit(seps.empty(level))).otherwise(text) if seps.escaped else text
 
 
 def _scalar_text(value: Column, dtype: T.DataType) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablehaul.functions.delimited import Separators, format_value
 from tablehaul.operators.extract import extract
-from tablehaul.sources.lines import write_lines
+from tablehaul.sources.lines import has_files, write_lines
 
 
 def extract_csv(
@@ -38,6 +38,7 @@ def extract_csv(
         "sep": sep, "quote": quote, "escape": escape, "escapeQuotes": escape_quotes,
         "quoteAll": quote_all, "nullValue": null_value,
     }
+    header = header and not (mode == "append" and has_files(spark, path))
     write_lines(csv_lines(df, options, header), path, mode, compression)
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablehaul.functions.columns import the_column
 from tablehaul.functions.delimited import Separators, conflicts, format_row, parse_steps, split_row
-from tablehaul.sources.lines import headed, read_lines, write_lines
+from tablehaul.sources.lines import has_files, headed, read_lines, write_lines
 
 
 def read_delimited(
@@ -51,7 +52,7 @@ def parse_lines(
     """Parse a one-column DataFrame of lines into typed columns."""
     schema = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
     seps = Separators(sep, csep, ksep, escaped)
-    rows = lines.select(split_row(F.col(lines.columns[0]), seps).alias("fields"))
+    rows = lines.select(split_row(the_column(lines), seps).alias("fields"))
     for step in parse_steps(schema, seps):
         rows = rows.select(*step)
     return rows
@@ -68,8 +69,9 @@ def format_lines(
     r"""One text line per row, column ``value``; optionally a header line ahead of them.
 
     A separator or line break inside a value is written as it is (``raw``), as a backslash code that
-    ``escaped=True`` reads back (``escape``), or fails the job (``error``). The format has one spelling for a
-    NULL collection and a collection of one NULL, and one for an empty collection and one empty text.
+    ``escaped=True`` reads back (``escape``), or fails the job (``error``). Raw text has one spelling for a
+    NULL collection and a collection of one NULL, and one for an empty collection and one empty text; ``escape``
+    has a code for each.
     """
     if on_conflict not in ("raw", "escape", "error"):
         raise ValueError(f"unknown conflict policy {on_conflict!r}")
@@ -101,23 +103,31 @@ def dump(
 ) -> None:
     """Write the rows of one SQL query as a directory of delimited text.
 
-    Part files concatenated in name order keep the ORDER BY of the query, header first.
+    Part files concatenated in name order keep the ORDER BY of the query, header first. ``mode="append"`` puts the rows
+    after those that are there; a dataset that has rows gets no second header.
     """
     df = spark.sql(query) if isinstance(query, str) else query
+    header = header and not (mode == "append" and has_files(spark, path))
     write_lines(format_lines(df, sep, csep, ksep, header, on_conflict), path, mode, compression)
 
 
 def _without_dataset_header(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     lines = read_lines(spark, path)
-    files = sorted(lines.inputFiles())
+    files = lines.inputFiles()
     if not files:
         return lines
     # Both sides filter on the file alone, so each reads only its own files.
-    first = re.sub("^file:/+", "file:/", files[0])  # the scan spells local paths with one slash
+    first = re.sub("^file:/+", "file:/", min(files, key=_file_order))  # the scan spells local paths with one slash
     in_first = F.col("_metadata.file_path") == F.lit(first)
     return lines.where(~in_first).unionAll(_without_first_lines(lines.where(in_first)))
 
 
+def _file_order(file: str) -> tuple:
+    folder, _, name = file.rpartition("/")
+    part = re.match("part-([0-9]+)", name)
+    return (folder, 0, int(part[1]), name) if part else (folder, 1, 0, name)
+
+
 def _without_first_lines(lines: DataFrame) -> DataFrame:
     """Leave out the first line of each file in one pass, without a join or a second scan.
 

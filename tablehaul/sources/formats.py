@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablehaul.functions.delimited import Separators
 from tablehaul.sources.lines import headed
 
 # Separator of each separated format; dsv takes its own, with this default.
@@ -13,19 +16,23 @@ SEPARATED = {"tsv2": "\t", "csv2": ",", "dsv": "|"}
 QUOTED = {"tsv": "\t", "csv": ","}
 MARKUP = ("xmlattr", "xmlelements")
 NULL_TEXT = "NULL"
+# Entities of signs, and of white space that a parser would change in an attribute or at a line end.
+MARKUP_CODES = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "\t": "&#9;", "\n": "&#10;", "\r": "&#13;"}
+ILLEGAL_IN_XML = r"[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
 
 
 def result_lines(df: DataFrame, format: str = "tsv2", sep: str | None = None, header: bool = False) -> DataFrame:
     """One line per row, column ``value``, in one of the formats
 
     ``tsv2``, ``csv2``, ``dsv`` (values joined as they are), ``tsv``, ``csv`` (every value in single
-    quotes), ``xmlattr``, ``xmlelements`` (one element per row inside a ``resultset`` element).
+    quotes), ``xmlattr``, ``xmlelements`` (one element per row inside a ``resultset`` element). Characters that XML
+    can't hold become U+FFFD; signs that a name can't hold become ``_``.
     """
     names = [f"c{i}" for i in range(len(df.columns))]
     rows = df.toDF(*names)
     texts = [_text(F.col(n), f.dataType) for n, f in zip(names, df.schema, strict=True)]
     if format in SEPARATED:
-        joiner = sep if format == "dsv" and sep else SEPARATED[format]
+        joiner = Separators(sep).at(0) if format == "dsv" and sep else SEPARATED[format]
         lines = rows.select(F.concat_ws(joiner, *texts).alias("value"))
         return headed(lines, joiner.join(df.columns)) if header else lines
     if format in QUOTED:
@@ -34,7 +41,7 @@ def result_lines(df: DataFrame, format: str = "tsv2", sep: str | None = None, he
         return headed(lines, joiner.join(f"'{c}'" for c in df.columns)) if header else lines
     if format in MARKUP:
         element = _attributes if format == "xmlattr" else _elements
-        lines = rows.select(element(df.columns, texts).alias("value"))
+        lines = rows.select(element([_markup_name(c) for c in df.columns], texts).alias("value"))
         return headed(lines, "<resultset>", "</resultset>")
     known = ", ".join([*SEPARATED, *QUOTED, *MARKUP])
     raise ValueError(f"unknown format {format!r}, known: {known}; see to_long_form for one line per cell")
@@ -71,6 +78,11 @@ def _elements(names: list[str], texts: list[Column]) -> Column:
 
 
 def _markup_safe(text: Column) -> Column:
-    for character, entity in (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;")):
+    for character, entity in MARKUP_CODES.items():
         text = F.replace(text, F.lit(character), F.lit(entity))
-    return text
+    return F.regexp_replace(text, ILLEGAL_IN_XML, "\ufffd")
+
+
+def _markup_name(name: str) -> str:
+    safe = re.sub(r"[^\w.-]", "_", name)
+    return safe if re.match(r"[^\W\d]", safe) else f"_{safe}"

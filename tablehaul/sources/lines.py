@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Name of a part file in three pieces, and digits to compare its number with.
-PART_FILE = r"^(.*/part-)([0-9]+)([^/]*)\z"
-PART_DIGITS = 10
+# Fixed value: how the name of a part file begins, before its number.
+PART = "part-"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], ordered: bool = False) -> DataFrame:
@@ -19,7 +20,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], ordered: bool =
     """
     if ordered:
         return positioned_lines(spark, paths).sort("file", "block", "row").select("value")
-    return _text(spark, paths)
+    # Only the lines: folders named like partitions would add columns.
+    return _text(spark, paths).select("value")
 
 
 def positioned_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -34,10 +36,18 @@ def positioned_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 
 def _name_order(path: Column) -> Column:
-    # Part numbers have five digits, or more in large datasets; padding keeps part-100000 behind part-99999.
-    pieces = [F.regexp_extract(path, PART_FILE, i) for i in (1, 2, 3)]
-    padded = F.concat(pieces[0], F.lpad(pieces[1], PART_DIGITS, "0"), pieces[2])
-    return F.when(path.rlike(PART_FILE), padded).otherwise(path)
+    """A text that sorts like the path, but part files by their number, whatever its length: part-99999, part-100000.
+
+    Plain text functions, as it is made for each line: the number of digits goes ahead of the digits.
+    """
+    name = F.substring_index(path, "/", -1)
+    rest = F.substr(name, F.lit(len(PART) + 1))
+    digits = F.substring_index(F.substring_index(rest, "-", 1), ".", 1)
+    number = F.ltrim(digits, F.lit("0"))
+    folder = F.substr(path, F.lit(1), F.length(path) - F.length(name))
+    ranked = F.concat(folder, F.lit(PART), F.lpad(F.length(number).cast("string"), 3, "0"), F.lit("."), number, rest)
+    numbered = F.startswith(name, F.lit(PART)) & (digits != "") & (F.translate(digits, "0123456789", "") == "")
+    return F.when(numbered, ranked).otherwise(path)
 
 
 def _text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -52,8 +62,59 @@ def read_sequence_lines(spark: SparkSession, paths: str | Sequence[str]) -> Data
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
-    """Write a one-column DataFrame of lines as a dataset; ``mode`` is ``overwrite`` or ``append``."""
-    lines.write.mode(mode).text(path, compression=compression)
+    """Write a one-column DataFrame of lines as a dataset; ``mode`` is ``overwrite`` or ``append``.
+
+    Appended lines come after those that are there, in the order of the part files' numbers. A dataset that is being
+    read can't be overwritten: it would be gone before it has been read.
+    """
+    if mode != "append":
+        _refuse_own_input(lines, path)
+        lines.write.mode(mode).text(path, compression=compression)
+    elif not has_files(lines.sparkSession, path):
+        lines.write.mode("append").text(path, compression=compression)
+    else:
+        _write_after(lines, path, compression)
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _shown_names(fs, target) -> list[str]:
+    names = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset has any file that readers see."""
+    return bool(_shown_names(*_folder(spark, path)))
+
+
+def _refuse_own_input(lines: DataFrame, path: str) -> None:
+    fs, target = _folder(lines.sparkSession, path)
+    own = fs.makeQualified(target).toUri().getPath().rstrip("/") + "/"
+    # Only files of the plan's own scans count; their names are known without reading them.
+    for file in lines.inputFiles():
+        if lines.sparkSession._jvm.org.apache.hadoop.fs.Path(file).toUri().getPath().startswith(own):
+            raise ValueError(f"{path} is read by the rows that would overwrite it")
+
+
+def _write_after(lines: DataFrame, path: str, compression: str | None) -> None:
+    """Write beside the dataset's files, hidden from readers, then give the new files the next numbers."""
+    spark = lines.sparkSession
+    fs, target = _folder(spark, path)
+    numbers = [int(m[1]) for n in _shown_names(fs, target) if (m := re.match(rf"{PART}([0-9]+)", n))]
+    hidden = f"{path.rstrip('/')}/_appending-{uuid.uuid4().hex}"
+    lines.write.text(hidden, compression=compression)
+    source = _folder(spark, hidden)[1]
+    first = max(numbers, default=-1) + 1
+    for name in sorted(_shown_names(fs, source), key=lambda n: int(re.match(rf"{PART}([0-9]+)", n)[1])):
+        number, rest = re.match(rf"{PART}([0-9]+)(.*)", name).groups()
+        child = spark._jvm.org.apache.hadoop.fs.Path(target, f"{PART}{first + int(number):05d}{rest}")
+        if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source, name), child):
+            raise OSError(f"could not rename {name} of {hidden}")
+    fs.delete(source, True)
 
 
 def headed(lines: DataFrame, header: str, footer: str | None = None) -> DataFrame:

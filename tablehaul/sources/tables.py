@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablehaul.sources.delimited import read_delimited
+from tablehaul.sources.scratch import scratch_path
 
 
 def load_table(
@@ -24,19 +26,44 @@ def load_table(
 ) -> DataFrame:
     """Replace a table by the rows of delimited text; the text is parsed once, the table is Parquet.
 
-    ``location`` makes the table external at that path.
+    The table has the declared columns with their types (``varchar``, ``char``) and comments. A load that fails leaves the old table
+    as it was: the new rows are written under a name of their own first, and the tables change places after that.
+    ``location`` makes the table external at that path, which is overwritten.
     """
     schema = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
     repeated = {n for n in schema.names if [m.lower() for m in schema.names].count(n.lower()) > 1}
     if repeated:
         raise ValueError(f"a table cannot hold repeated column names: {sorted(repeated)}")
     rows = read_delimited(spark, path, schema, sep, csep, ksep, header, escaped)
+    declared = ", ".join(_declared(f) for f in schema)
+    if location:
+        # Rows go to the place itself, so they must be whole before the old ones are given up.
+        ready = scratch_path(spark, "load")
+        rows.write.parquet(ready)
+        rows = spark.read.schema(rows.schema).parquet(ready)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        place = location.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {table} ({declared}) USING parquet LOCATION '{place}'")
+        spark.sql(f"INSERT OVERWRITE {table} SELECT * FROM {{rows}}", rows=rows)
+        return spark.table(table)
+    fresh = f"{table}_loading_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {fresh} ({declared}) USING parquet")
+    try:
+        spark.sql(f"INSERT OVERWRITE {fresh} SELECT * FROM {{rows}}", rows=rows)
+    except Exception:
+        spark.sql(f"DROP TABLE {fresh}")
+        raise
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = rows.write.mode("overwrite").format("parquet")
-    (writer.option("path", location) if location else writer).saveAsTable(table)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     return spark.table(table)
 
 
+def _declared(field: T.StructField) -> str:
+    name, comment = field.name.replace("`", "``"), (field.metadata or {}).get("comment")
+    text = "" if comment is None else " COMMENT '" + comment.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"`{name}` {field.dataType.simpleString()}{text}"
+
+
 def load_partition(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -62,6 +89,10 @@ def load_partition(
 
 
 def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"  # the default partition
+    if isinstance(value, bool):
+        return str(value).lower()
     if isinstance(value, (int, float)):
         return str(value)
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

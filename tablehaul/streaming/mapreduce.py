@@ -40,7 +40,7 @@ def map_reduce(
     ``combiner`` folds the lines of each map partition before the shuffle (``True``: with the reducer); it sees
     the lines of a key one after another, but keys in no set order. With one, a key that holds much of the data
     reaches its reducer as one line per map partition; without one, all lines of a key stream through one task.
-    ``reduce_tasks=0`` stops after the map; a number without a reducer sorts the lines by key. ``output``
+    A combiner without a reducer and without ``reduce_tasks`` is the last step. ``reduce_tasks=0`` stops after the map; a number without a reducer sorts the lines by key. ``output``
     overwrites a dataset with the result, which is then read back from there.
     """
     if isinstance(input, DataFrame):
@@ -52,7 +52,14 @@ def map_reduce(
             lines = lines.coalesce(map_tasks) if map_tasks < splits else lines.repartition(map_tasks)
     if mapper is not None:
         lines = run_stage(lines, mapper)
-    if reduce_tasks != 0 and (reducer is not None or reduce_tasks):
+    if combiner is True and reducer is None:
+        raise ValueError("combiner=True means the reducer, and there is none")
+    if isinstance(reducer, named) and combiner not in (None, True, False):
+        raise ValueError("a named reducer combines by itself; it takes no combiner")
+    if reduce_tasks == 0 and combiner not in (None, False):
+        raise ValueError("without a reduce step (reduce_tasks=0) no combiner runs")
+    combiner = combiner or None
+    if reduce_tasks != 0 and (reducer is not None or combiner is not None or reduce_tasks):
         lines = _reduced(lines, reducer, reducer if combiner is True else combiner, reduce_tasks)
     if output is None:
         return lines
@@ -65,17 +72,19 @@ def _reduced(
 ) -> DataFrame:
     if isinstance(reducer, named):
         # Partial aggregation is built in, a combiner would only repeat it.
-        number = F.get(F.split("value", "\t", 3), F.lit(1)).cast("bigint")
-        totals = reduce_by_key(
-            lines.toDF("value").select(line_key("value").alias("key"), number.alias("number")),
-            "key", "number", reducer.reducer,
-        )
+        text = F.get(F.split("value", "\t", 3), F.lit(1))
+        number = text.try_cast("bigint")
+        bad = F.raise_error(F.concat(F.lit("no whole number after the first tab: "), F.col("value"))).cast("bigint")
+        numbers = lines.toDF("value").select(line_key("value").alias("key"), F.coalesce(number, bad).alias("number"))
+        totals = reduce_by_key(numbers, "key", "number", reducer.reducer)
+        if tasks:
+            totals = totals.repartition(tasks, "key")
         return totals.select(F.concat_ws("\t", "key", reducer.reducer).alias("value"))
     lines = lines.toDF("value")
     if combiner is not None:
         lines = run_stage(_keys_adjacent(lines), combiner)
     if reducer is None:
-        return _sorted_lines(lines, tasks)
+        return _sorted_lines(lines, tasks) if tasks else lines
     # Only the lines travel: the key is taken from them again on the other side.
     key = line_key("value")
     gathered = lines.repartition(tasks, key) if tasks else lines.repartition(key)

@@ -5,17 +5,19 @@ from __future__ import annotations
 import subprocess
 from collections.abc import Callable, Collection, Iterable, Iterator
 from contextlib import suppress
-from itertools import islice
 from threading import Thread
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablehaul.functions.columns import the_column
 from tablehaul.functions.delimited import NULL_TEXT
 from tablehaul.sources.lines import write_lines
 
+# Bounds of a batch of lines.
 LINES_PER_BATCH = 10_000
+BYTES_PER_BATCH = 16 << 20
 READ_BYTES = 1 << 20
 
 Stage = Callable[[Iterator[str]], Iterable[str] | None] | str
@@ -27,7 +29,9 @@ def pipe_from(lines: DataFrame, command: str, ok_codes: Collection[int] = (0,))
     A command that works line by line gives the same lines however the data is partitioned. An exit code
     outside ``ok_codes`` fails the job; ``grep`` needs ``(0, 1)``, as some partition may have no match.
     """
-    return _value_column(lines).mapInArrow(_through_command(command, frozenset(ok_codes)), "value string")
+    raw = _value_column(lines).select(F.col("value").cast("binary"))
+    # Bytes both ways: a text may hold bytes that are no UTF-8, and the command may write such.
+    return raw.mapInArrow(_through_command(command, frozenset(ok_codes)), "value binary").select(F.col("value").cast("string"))
 
 
 def pipe_into(
@@ -51,7 +55,7 @@ def run_stage(lines: DataFrame, stage: Stage) -> DataFrame:
 
 
 def _value_column(lines: DataFrame) -> DataFrame:
-    return lines.select(F.coalesce(F.col(lines.columns[0]).cast("string"), F.lit(NULL_TEXT)).alias("value"))
+    return lines.select(F.coalesce(the_column(lines).cast("string"), F.lit(NULL_TEXT)).alias("value"))
 
 
 def _through_callable(fn: Callable):
@@ -61,7 +65,7 @@ def _through_callable(fn: Callable):
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = iter(fn(line for b in batches for line in b.column(0).to_pylist()) or ())
-        while chunk := list(islice(out, LINES_PER_BATCH)):
+        for chunk in _by_bytes(out):
             yield _batch(pa.array(chunk, pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +84,7 @@ def _through_command(command: str, ok_codes: frozenset[int]):
         feeder.start()
         try:
             for text in _whole_lines(process.stdout):
-                yield _batch(pa.array(text.decode("utf-8", "replace").split("\n"), pa.string()))
+                yield _batch(pa.array(text.split(b"\n"), pa.binary()))
             feeder.join()
             code = process.wait()
         finally:
@@ -98,7 +102,8 @@ def _feed(batches: Iterator[pa.RecordBatch], stdin, failures: list[BaseException
     try:
         for batch in batches:
             if batch.num_rows:
-                stdin.write(("\n".join(batch.column(0).to_pylist()) + "\n").encode())
+                for some in _by_bytes(batch.column(0).to_pylist()):
+                    stdin.write(b"\n".join(some) + b"\n")
     except BrokenPipeError:  # the command stopped reading, as head does
         for _ in batches:
             pass
@@ -123,5 +128,18 @@ def _whole_lines(stdout) -> Iterator[bytes]:
         yield rest
 
 
+def _by_bytes(lines: Iterable) -> Iterator[list]:
+    """Lists of lines of a bounded number and a bounded length together; a longer line is alone."""
+    some, size = [], 0
+    for line in lines:
+        if some and (len(some) >= LINES_PER_BATCH or size + len(line) > BYTES_PER_BATCH):
+            yield some
+            some, size = [], 0
+        some.append(line)
+        size += len(line)
+    if some:
+        yield some
+
+
 def _batch(values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([values], ["value"])
