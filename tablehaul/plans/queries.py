@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablehaul.functions.columns import column_list
@@ -140,12 +140,21 @@ def delimited_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return read_delimited(spark, path, lineitem.schema)
 
 
-@registered("""
-    SELECT l_orderkey, l_linenumber, l_partkey AS first_id, l_suppkey AS second_id, l_quantity AS quantity,
-        l_discount AS discount, l_returnflag AS flag, l_shipdate AS shipped, CAST(3 AS INTEGER) AS tags
-    FROM lineitem
+_NESTED_ITEMS = """
+    unnest([
+        struct_pack(name := 'id 0', item := l_partkey::VARCHAR), struct_pack(name := 'id 1', item := l_suppkey::VARCHAR),
+        struct_pack(name := 'id 2', item := NULL), struct_pack(name := 'tag 0 0', item := 'x'),
+        struct_pack(name := 'tag 0 1', item := l_linestatus), struct_pack(name := 'tag 1 0', item := l_returnflag)]) AS cell
+"""
+
+
+@registered(f"""
+    SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_discount AS discount, CAST(2 AS INTEGER) AS amounts,
+        l_returnflag AS flag, l_shipdate AS shipped, cell.name AS name, cell.item AS item
+    FROM (SELECT *, {_NESTED_ITEMS} FROM lineitem)
 """)
 def delimited_nested_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every item of every nested value, a row for each item of the arrays."""
     path = scratch_path(spark, "nested-round-trip")
     nested = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey",
@@ -156,16 +165,14 @@ def delimited_nested_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         "array(array('x', l_linestatus), array(l_returnflag)) AS tags",
     )
     dump(spark, nested, path, sep="|", csep=";", ksep="=")
-    return read_delimited(spark, path, nested.schema, sep="|", csep=";", ksep="=").selectExpr(
-        "l_orderkey",
-        "l_linenumber",
-        "ids[0] AS first_id",
-        "ids[1] AS second_id",
-        "amounts['quantity'] AS quantity",
-        "amounts['discount'] AS discount",
-        "state.flag AS flag",
-        "state.shipped AS shipped",
-        "size(flatten(tags)) AS tags",
+    back = read_delimited(spark, path, nested.schema, sep="|", csep=";", ksep="=")
+    cells = """
+        concat(transform(ids, (x, i) -> struct(concat('id ', i) AS name, string(x) AS item)),
+            flatten(transform(tags, (t, i) -> transform(t, (x, k) -> struct(concat('tag ', i, ' ', k) AS name, x AS item)))))
+    """
+    return back.selectExpr(
+        "l_orderkey", "l_linenumber", "amounts['quantity'] AS quantity", "amounts['discount'] AS discount",
+        "size(amounts) AS amounts", "state.flag AS flag", "state.shipped AS shipped", f"inline({cells}) AS (name, item)",
     )
 
 
@@ -191,15 +198,16 @@ def delimited_escaped_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered("""
-    SELECT page_id, CAST(len(string_split(html, chr(10))) AS INTEGER) AS pieces, url FROM pages
+    SELECT page_id, CAST(pos - 1 AS INTEGER) AS pos, lines[pos] AS line, url
+    FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS pos
+        FROM (SELECT page_id, url, string_split(html, chr(10)) AS lines FROM pages))
 """)
 def delimited_text_lists(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "text-lists")
     lists = table(spark, folder, "pages").selectExpr("page_id", "split(html, '\\n') AS html_lines", "url")
     dump(spark, lists, path, on_conflict="escape")
     back = read_delimited(spark, path, lists.schema, escaped=True)
-    # An empty text is the one list the format reads back as an empty list.
-    return back.selectExpr("page_id", "greatest(size(html_lines), 1) AS pieces", "url")
+    return back.select("page_id", F.posexplode("html_lines").alias("pos", "line"), "url")
 
 
 @registered("""
@@ -227,13 +235,14 @@ def delimited_guarded_values(spark: SparkSession, folder: str) -> DataFrame:
 # --- tables ---------------------------------------------------------------------------------------
 
 
-@registered("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+@registered("SELECT c_custkey, c_name, c_acctbal, rpad(c_mktsegment, 10, ' ') AS c_mktsegment FROM customer")
 def load_table_customers(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "customers-text")
     customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     dump(spark, customers, path, header=True)
     return load_table(
-        spark, path, "tablehaul_customers", "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string",
+        spark, path, "tablehaul_customers",
+        "c_custkey bigint, c_name varchar(30) COMMENT 'as registered', c_acctbal double, c_mktsegment char(10)",
         header="dataset", location=scratch_path(spark, "customers-table"),
     )
 
@@ -286,6 +295,45 @@ def append_output(spark: SparkSession, folder: str) -> DataFrame:
     return read_lines(spark, path)
 
 
+@registered("""
+    SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS number,
+        o_orderkey || chr(9) || o_orderpriority AS value FROM orders
+""")
+def ordered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of a dumped ORDER BY with their numbers in file order."""
+    path = scratch_path(spark, "ordered-lines")
+    ordered = table(spark, folder, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    dump(spark, ordered.select("o_orderkey", "o_orderpriority"), path)
+    return numbered_lines(spark, path)
+
+
+@registered("""
+    SELECT row_number() OVER (ORDER BY batch, k) AS number, value FROM (
+        SELECT 0 AS batch, 0 AS k, 'c_custkey|c_name' AS value
+        UNION ALL SELECT 1, c_custkey, c_custkey || '|' || c_name FROM customer
+        UNION ALL SELECT 2, s_suppkey, s_suppkey || '|' || s_name FROM supplier
+        UNION ALL SELECT 3, p_partkey, p_partkey || '|' || p_name FROM part)
+""")
+def append_keeps_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Appended lines come after those that were there, with one header for all."""
+    path = scratch_path(spark, "append-order")
+    for name, key, text in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("part", "p_partkey", "p_name")):
+        mode = "overwrite" if name == "customer" else "append"
+        dump(spark, table(spark, folder, name).orderBy(key).select(key, text), path, sep="|", header=True, mode=mode)
+    return numbered_lines(spark, path)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their number in file order: rows before the file, counted, and the place in it."""
+    lines = positioned_lines(spark, path)
+    here = ["file", "block"]
+    sizes = lines.groupBy(*here).agg(F.count("*").alias("n"))  # a row for each file block
+    before = F.sum("n").over(Window.orderBy(*here)) - F.col("n")
+    placed = lines.join(sizes.select(*here, before.alias("before")), here)
+    number = F.col("before") + F.row_number().over(Window.partitionBy(*here).orderBy("row"))
+    return placed.select(number.cast("bigint").alias("number"), "value")
+
+
 @registered("""
     SELECT concat(c_custkey, chr(9), c_name) AS value FROM customer
     UNION ALL SELECT concat(s_suppkey, chr(9), s_name) FROM supplier
@@ -459,6 +507,34 @@ def sql_result_lines(spark: SparkSession, folder: str) -> DataFrame:
     return sql_lines(spark, script, {"folder": folder}, {"status": "P"}, header=True)
 
 
+@registered("""
+    SELECT n_regionkey, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey
+""")
+def script_with_cleanup(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the last query, though the statements after it drop what it reads."""
+    script = """
+        DROP TABLE IF EXISTS {name};
+        CREATE TABLE {name} USING parquet LOCATION '{place}' AS
+            SELECT n_regionkey FROM parquet.`{folder}/customer.parquet` JOIN parquet.`{folder}/nation.parquet`
+            ON c_nationkey = n_nationkey; /* rows of /* nested; */ regions; */
+        SELECT n_regionkey, count(*) AS customers FROM {name} GROUP BY n_regionkey;
+        DROP TABLE {name};
+        SET spark.sql.ansi.enabled;
+    """
+    place = scratch_path(spark, "script-table")
+    return run_script(spark, script, {"name": "tablehaul_regions", "place": place, "folder": folder})
+
+
+@registered("""
+    SELECT '<resultset>' AS value UNION ALL SELECT '</resultset>'
+    UNION ALL SELECT concat('<result><doc_id>', doc_id, '</doc_id><text>',
+        replace(replace(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'),
+            chr(9), '&#9;'), chr(10), '&#10;'), chr(13), '&#13;'), '</text></result>') FROM documents
+""")
+def xml_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return result_lines(table(spark, folder, "documents").select("doc_id", "text"), "xmlelements")
+
+
 # --- pipes ----------------------------------------------------------------------------------------
 
 
@@ -563,11 +639,75 @@ def map_reduce_command(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered("""
-    SELECT concat(event_type, chr(9), event_id, chr(9), props) AS value FROM events
+    SELECT concat(event_type, chr(9), event_id, chr(9), props) AS value,
+        dense_rank() OVER (ORDER BY event_type) AS key_number FROM events
 """)
 def sort_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Sorted lines, each with the number of its key as file order has it."""
     events = format_lines(table(spark, folder, "events").select("event_type", "event_id", "props"))
-    return map_reduce(spark, events, scratch_path(spark, "sorted-lines"), reduce_tasks=4)
+    path = scratch_path(spark, "sorted-lines")
+    map_reduce(spark, events, path, reduce_tasks=4)
+    lines = numbered_lines(spark, path).withColumn("key", F.substring_index("value", "\t", 1))
+    # Keys are few, their lines many: each key's first line says where it stands.
+    starts = lines.groupBy("key").agg(F.min("number").alias("start"))
+    keys = starts.withColumn("key_number", F.row_number().over(Window.orderBy("start")).cast("bigint"))
+    return lines.join(keys.select("key", "key_number"), "key").select("value", "key_number")
+
+
+@registered("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def combine_only(spark: SparkSession, folder: str) -> DataFrame:
+    """A combiner without a reducer leaves a line for each key and map partition."""
+    @batched
+    def one_per_event(batches):
+        for lines in batches:
+            event_types = pc.list_element(pc.split_pattern(lines, "\t", max_splits=1), 0)
+            yield pc.binary_join_element_wise(event_types, "1", "\t")
+
+    events = format_lines(table(spark, folder, "events").select("event_type", "props"))
+    combined = map_reduce(spark, events, mapper=one_per_event, combiner=sum_adjacent)
+    return _key_value(combined, "event_type", "n").groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
+@registered("SELECT upper(concat(p_partkey, chr(9), p_name)) AS value, 3::BIGINT AS tasks FROM part")
+def map_tasks_hint(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines through three mappers, each line with the number of mappers that had lines."""
+    source = scratch_path(spark, "hinted")
+    write_lines(format_lines(table(spark, folder, "part").select("p_partkey", "p_name")), source)
+    shouted = map_reduce(spark, source, mapper="tr a-z A-Z", map_tasks=3).withColumn("task", F.spark_partition_id())
+    tasks = shouted.agg(F.countDistinct("task").alias("tasks"))
+    return shouted.select("value").crossJoin(F.broadcast(tasks))  # one row
+
+
+@registered("SELECT concat(s_suppkey, chr(9), s_name) AS value FROM supplier")
+def output_overwritten(spark: SparkSession, folder: str) -> DataFrame:
+    """The output of a job takes the place of the lines that were there."""
+    path = scratch_path(spark, "overwritten")
+    write_lines(format_lines(table(spark, folder, "customer")), path)
+    return map_reduce(spark, format_lines(table(spark, folder, "supplier").select("s_suppkey", "s_name")), path, reduce_tasks=0)
+
+
+@registered("SELECT (SELECT count(*) FROM customer) AS lines, 0::BIGINT AS output")
+def reducer_without_output(spark: SparkSession, folder: str) -> DataFrame:
+    """A reducer that reads its lines and gives none, beside the number of lines it got."""
+    lines = format_lines(table(spark, folder, "customer").select("c_custkey", "c_name"))
+
+    def silent(lines: Iterator[str]) -> None:
+        for _ in lines:
+            pass
+
+    nothing = map_reduce(spark, lines, reducer=silent, reduce_tasks=2).agg(F.count("*").alias("output"))
+    return lines.agg(F.count("*").alias("lines")).crossJoin(F.broadcast(nothing))  # one row each
+
+
+@registered("""
+    SELECT event_type, min(day) AS day, CAST(sum(k) AS BIGINT) AS total, count(*) AS rows
+    FROM (SELECT event_type, strftime(ts, '%Y-%m') AS day, regexp_extract(props, '[0-9]+')::BIGINT AS k FROM events)
+    GROUP BY event_type, day
+""")
+def run_sum_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of a key within a month: most rows tie in the order, which only has the month."""
+    events = _event_numbers(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM"))
+    return run_sum(events, "event_type", "k", ["day"], ["day"]).select("event_type", "day", "total", "rows")
 
 
 @registered("""

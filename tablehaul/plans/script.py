@@ -6,12 +6,19 @@ import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablehaul.sources.formats import result_lines
+from tablehaul.sources.scratch import scratch_path
 
 _PLACEHOLDER = re.compile(r"\{\{|\}\}|\{(\w+)\}")
-# A quoted text, a quoted name, a comment, or the end of a statement.
-_PIECE = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|(;)""", re.DOTALL)
+# A raw text, a quoted text, a quoted name, a line comment, the begin of a block comment, or the end of a statement.
+_PIECE = re.compile(
+    r"""(?<!\w)[rR]'[^']*'|(?<!\w)[rR]"[^"]*"|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*|;""", re.DOTALL
+)
+_COMMENT_EDGE = re.compile(r"/\*|\*/")
+# How statements begin whose rows are a result.
+_QUERY = ("select", "with", "from", "values", "table", "map", "reduce")
 
 
 def render(text: str, variables: Mapping[str, object] | None = None) -> str:
@@ -41,13 +48,39 @@ def resolve_variables(variables: Mapping[str, object]) -> dict[str, str]:
 
 def statements(script: str) -> list[str]:
     """The statements of a script; semicolons in quotes and comments do not end one."""
-    cuts = [m.start() for m in _PIECE.finditer(script) if m[1]]
-    parts = [script[a:b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(script)], strict=True)]
-    return [p.strip() for p in parts if _PIECE.sub(_blank_comment, p).strip()]
-
-
-def _blank_comment(match: re.Match) -> str:
-    return "" if match[0].startswith(("--", "/*")) else match[0]
+    found, begin, bare, at = [], 0, "", 0
+    while match := _PIECE.search(script, at):
+        bare += script[at : match.start()]
+        at = match.end()
+        if match[0] == "/*":
+            at = _comment_end(script, at)
+        elif match[0] == ";":
+            found.append((script[begin : match.start()].strip(), bare.strip()))
+            begin, bare = at, ""
+        elif not match[0].startswith("--"):
+            bare += match[0]
+    found.append((script[begin:].strip(), (bare + script[at:]).strip()))
+    return [text for text, without_comments in found if without_comments]
+
+
+def _comment_end(script: str, at: int) -> int:
+    """Where a block comment ends, whose begin is behind; comments inside of it count."""
+    depth = 1
+    while depth:
+        edge = _COMMENT_EDGE.search(script, at)
+        if edge is None:
+            return len(script)
+        at = edge.end()
+        depth += 1 if edge[0] == "/*" else -1
+    return at
+
+
+def _first_word(statement: str) -> str:
+    bare = re.sub(r"--[^\n]*", " ", statement)
+    while match := _COMMENT_EDGE.search(bare):
+        bare = bare[: match.start()] + " " + bare[_comment_end(bare, match.end()) :]
+    word = re.match(r"[\s(]*(\w+)", bare)
+    return word[1].lower() if word else ""
 
 
 def run_script(
@@ -56,12 +89,28 @@ def run_script(
     variables: Mapping[str, object] | None = None,
     args: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Run the statements in order; the rows of the last query are the result, computed lazily."""
+    """Run the statements in order; the rows of the last query are the result.
+
+    They are computed lazily if nothing follows the query. If statements follow, they may drop what it reads: it is
+    written to the shared folder before them. Without a query the last statement's rows are the result.
+    """
+    parts = statements(render(script, variables))
+    queries = [i for i, part in enumerate(parts) if _first_word(part) in _QUERY]
+    wanted = queries[-1] if queries else len(parts) - 1
     result = None
-    for statement in statements(render(script, variables)):
+    for i, statement in enumerate(parts):
         rows = spark.sql(statement, args=dict(args or {}))
-        if result is None or rows.columns:
+        if i == wanted:
             result = rows
+            if i < len(parts) - 1 and rows.columns:
+                path = scratch_path(spark, "result")
+                names = [f"c{k}" for k in range(len(rows.columns))]
+                placed = rows.toDF(*names).withColumn("place", F.monotonically_increasing_id())
+                placed.write.parquet(path)
+                back = spark.read.schema(placed.schema).parquet(path)
+                # Files come back in any order; only a query that asked for one pays for it again.
+                ordered = back.sort("place") if re.search(r"\border\s+by\b", statement, re.IGNORECASE) else back
+                result = ordered.drop("place").toDF(*rows.columns)
     if result is None:
         raise ValueError("the script holds no statement")
     return result

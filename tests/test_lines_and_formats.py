@@ -122,10 +122,10 @@ def test_separated_formats(spark):
 def test_markup_formats(spark):
     df = spark.sql("""select 1 a, '<b & "c">' b""")
     assert texts(result_lines(df, "xmlattr")) == [
-        "<resultset>", '<result a="1" b="&lt;b &amp; &quot;c&quot;>"/>', "</resultset>",
+        "<resultset>", '<result a="1" b="&lt;b &amp; &quot;c&quot;&gt;"/>', "</resultset>",
     ]
     assert texts(result_lines(df, "xmlelements")) == [
-        "<resultset>", "<result><a>1</a><b>&lt;b &amp; &quot;c&quot;></b></result>", "</resultset>",
+        "<resultset>", "<result><a>1</a><b>&lt;b &amp; &quot;c&quot;&gt;</b></result>", "</resultset>",
     ]
 
 
