@@ -18,6 +18,8 @@ WINDOW = 8
 LEAST_LITERALS = 5
 #: Part of an item's windows that must be found.
 LEAST_SHARE = 0.5
+#: So many windows of an item are evidence whatever their share: some 19 words in a row.
+LEAST_RUN = 12
 #: Windows of the benchmark up to this number are broadcast, about 100 bytes each; more are joined by shuffle.
 BROADCAST_WINDOWS = 200_000
 #: Words that are units after a number.
@@ -77,7 +79,8 @@ def _own_slots(slots: str, at: str) -> Column:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_found, n_exact, share, changed) of documents with a benchmark item in them.
+    """(doc_id, item_id, n_windows, n_found, n_exact, share, changed) of documents with a benchmark item in them: at least
+    ``least_share`` of its windows, or ``LEAST_RUN`` of them.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Windows of a document count for an item if they lie in
     one copy (equal distance of the positions) whose changes are consistent; ``changed`` says that some found window has
@@ -113,7 +116,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     return leaks.select(
         "doc_id", "item_id", "n_windows", total.alias("n_found"), F.least("exact", "n_windows").alias("n_exact"),
         (total / F.col("n_windows")).alias("share"), (F.least("exact", "n_windows") < total).alias("changed"),
-    ).where(F.col("share") >= least_share)
+    ).where((F.col("share") >= least_share) | (F.col("n_found") >= LEAST_RUN))
 
 
 def remove_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
