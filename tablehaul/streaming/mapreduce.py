@@ -82,7 +82,8 @@ def _reduced(
         return totals.select(F.concat_ws("\t", "key", reducer.reducer).alias("value"))
     lines = lines.toDF("value")
     if combiner is not None:
-        lines = run_stage(_keys_adjacent(lines), combiner)
+        hashed = getattr(combiner, "in_any_order", None)
+        lines = run_stage(lines, hashed) if hashed else run_stage(_keys_adjacent(lines), combiner)
     if reducer is None:
         return _sorted_lines(lines, tasks) if tasks else lines
     # Only the lines travel: the key is taken from them again on the other side.

@@ -8,13 +8,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tablehaul.operators.runs import exact_sums
+from tablehaul.operators.runs import LOW_BITS, exact_sums
 from tablehaul.streaming.pipes import batched
 
 # Fixed value: what separates Unicode words.
 BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 # Texts split at a time: bounds the size of a batch of words when texts are long.
 TEXTS_AT_ONCE = 256
+# Bounds of what is summed up at a time where lines have no order.
+LINES_COMBINED = 500_000
+BYTES_COMBINED = 32 << 20
 
 
 @batched
@@ -52,6 +55,34 @@ def sum_adjacent(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([f"{open_key}\t{_checked([open_sum])[0]}"])
 
 
+@batched
+def _sum_in_any_order(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Combiner: sums per key of some lines at a time, by a hash table of bounded size; needs no order of the lines."""
+    some, size = [], 0
+    for lines in batches:
+        some.append(lines)
+        size += len(lines)
+        if size >= LINES_COMBINED or sum(x.nbytes for x in some) >= BYTES_COMBINED:
+            yield _sums(some)
+            some, size = [], 0
+    if size:
+        yield _sums(some)
+
+
+def _sums(arrays: list[pa.Array]) -> pa.Array:
+    fields = pc.split_pattern(pa.concat_arrays(arrays), "\t", max_splits=2)
+    numbers = pc.list_element(fields, 1).cast(pa.int64()).to_numpy()
+    halves = {"high": numbers >> LOW_BITS, "low": numbers & ((1 << LOW_BITS) - 1)}
+    table = pa.table({"key": pc.list_element(fields, 0), **halves}).group_by("key").aggregate([("high", "sum"), ("low", "sum")])
+    high, low = (table[f"{c}_sum"].to_pylist() for c in halves)
+    sums = _checked([(h << LOW_BITS) + l for h, l in zip(high, low, strict=True)])
+    return pc.binary_join_element_wise(table["key"].combine_chunks(), pa.array(sums, pa.int64()).cast(pa.string()), "\t")
+
+
+# A job that combines with this stage need not put the lines of a key next to each other before.
+sum_adjacent.in_any_order = _sum_in_any_order
+
+
 def _checked(sums: list[int]) -> list[int]:
     if any(not -(1 << 63) <= s < 1 << 63 for s in sums):
         raise OverflowError("the sum of a run does not fit a bigint")

@@ -133,6 +133,17 @@ def test_jobs_refuse_what_they_would_not_do(spark, lines):
         map_reduce(spark, lines("a\t1", "b"), reducer=named("count")).collect()
 
 
+def test_sums_in_any_order(monkeypatch):
+    import tablehaul.streaming.stages as stages
+
+    monkeypatch.setattr(stages, "LINES_COMBINED", 3)
+    lines = ["a\t1", "b\t2", "a\t3", f"a\t{BIG}", f"a\t{BIG - 1}", "\t5"]
+    out = [x for batch in sum_adjacent.in_any_order(arrays(*lines)) for x in batch.to_pylist()]
+    assert sorted(out) == sorted(["a\t4", "b\t2", f"a\t{2 * BIG - 1}", "\t5"])
+    with pytest.raises(OverflowError):
+        list(sum_adjacent.in_any_order(iter([pa.array([f"a\t{BIG}", f"a\t{BIG}"])])))
+
+
 def test_escaped_text_is_lossless(spark, tmp_path):
     rows = spark.sql("""
         SELECT * FROM VALUES
