@@ -122,6 +122,12 @@ def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -
         text = F.when(text != seps.null(level), text)  # no other type reads the marker as a value
     if isinstance(dtype, T.ArrayType):
         parts = _split_nonempty(text, seps, level)
+        if isinstance(dtype.elementType, _WHOLE) and not _needs_codes(dtype.elementType, seps, level + 1):
+            # In steps over the whole array, as for columns: no text is named twice within a step.
+            numbers = F.transform(F.transform(parts, _digits), _whole_number)
+            if isinstance(dtype.elementType, T.LongType):
+                return numbers
+            return F.transform(numbers, lambda n: _narrowed(n, dtype.elementType))
         return F.transform(parts, lambda x: parse_value(x, dtype.elementType, seps, level + 1))
     if isinstance(dtype, T.MapType):
         return _parse_map(text, dtype, seps, level)
@@ -199,15 +205,10 @@ def _split_nonempty(text: Column, seps: Separators, level: int) -> Column:
 def _parse_map(text: Column, dtype: T.MapType, seps: Separators, level: int) -> Column:
     ksep = seps.at(level + 1)
 
-    def entry(item: Column) -> Column:
-        key = F.substring_index(item, ksep, 1)
-        rest = F.when(
-            F.contains(item, F.lit(ksep)),
-            F.substr(item, F.length(key) + F.lit(len(ksep) + 1)),
-        )
+    def entry(halves: Column) -> Column:
         return F.struct(
-            _let(key, lambda k: parse_value(k, dtype.keyType, seps, level + 2)).alias("key"),
-            _let(rest, lambda v: parse_value(v, dtype.valueType, seps, level + 2)).alias("value"),
+            parse_value(F.get(halves, F.lit(0)), dtype.keyType, seps, level + 2).alias("key"),
+            parse_value(F.get(halves, F.lit(1)), dtype.valueType, seps, level + 2).alias("value"),
         )
 
     def first_wins(entries: Column) -> Column:
@@ -223,7 +224,8 @@ def _parse_map(text: Column, dtype: T.MapType, seps: Separators, level: int) ->
         kept = F.transform(places, lambda i: F.get(entries, i))
         return F.when(F.size(F.array_distinct(keys)) < F.size(keys), kept).otherwise(entries)
 
-    entries = F.transform(_split_nonempty(text, seps, level), entry)
+    items = F.transform(_split_nonempty(text, seps, level), lambda item: F.split(item, quoted(ksep), 2))
+    entries = F.transform(items, entry)
     return F.map_from_entries(_let(F.filter(entries, lambda e: e["key"].isNotNull()), first_wins))
 
 
