@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.components import stored
+from tablehaul.llm.frames import in_batches
 from tablehaul.llm.textarrays import byte_slices, flat, mixed, slice_hashes, words_of
 
 #: Bytes of text behind a bucket of counts.
-BUCKET_TEXT = 48 << 20
+BUCKET_TEXT = 24 << 20
 BITS_PER_ENTRY = 12
 PROBES = 5
 #: The filter's size is bounded by this; beyond it an entry has fewer bits and false positives rise.
@@ -32,7 +33,7 @@ LEAST_PAIR_COUNT = 2
 #: Weight of the pair's estimate at a history seen very often, and the count at which half of it is reached.
 PAIR_WEIGHT, HALF_COUNT = 0.6, 8.0
 END = int(mixed(np.array([0x5851F42D4C957F2D], np.uint64))[0])
-SLICE = 12 << 20
+SLICE = 8 << 20
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +146,7 @@ def _sent(docs: DataFrame, buckets: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(
+    return in_batches(docs.select("doc_id", "text", "held_out")).mapInArrow(
         emit,
         "bucket int, doc_id array<bigint>, text_key array<bigint>, words binary, train binary, in_docs binary, doc binary, times binary",
     )
@@ -158,8 +159,8 @@ def _counted(sent: DataFrame, bits_per_entry: float) -> DataFrame:
     """For each slice and bucket, sums per document; and once for each bucket its totals and its filter segment."""
 
     def count(table: pa.Table) -> pa.Table:
-        words = [np.frombuffer(x, np.uint64) for x in table["words"].to_pylist()]
-        train = [np.frombuffer(x, np.uint32) for x in table["train"].to_pylist()]
+        words = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["words"]]
+        train = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["train"]]
         distinct, code = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(code, np.concatenate(train), minlength=len(distinct)).astype(np.int64)
         log = np.log10(total + 1.0)
@@ -169,9 +170,8 @@ def _counted(sent: DataFrame, bits_per_entry: float) -> DataFrame:
             own = code[at : at + len(words[i])]
             at += len(words[i])
             ids, keys = table["doc_id"][i].as_py(), table["text_key"][i].as_py()
-            which = np.repeat(own, np.frombuffer(table["in_docs"][i].as_py(), np.uint32))
-            doc = np.frombuffer(table["doc"][i].as_py(), np.uint32)
-            times = np.frombuffer(table["times"][i].as_py(), np.uint32)
+            in_docs, doc, times = (np.frombuffer(table[c][i].as_buffer(), np.uint32) for c in ("in_docs", "doc", "times"))
+            which = np.repeat(own, in_docs)
             sums = np.bincount(doc, times * log[which], minlength=len(ids)) if len(doc) else np.zeros(len(ids))
             known = np.bincount(doc, times * (total[which] > 0), minlength=len(ids)) if len(doc) else np.zeros(len(ids))
             for name, value in zip(names, (table["bucket"][i].as_py(), ids, keys, sums, known.astype(np.int64), None, None, None)):
@@ -206,9 +206,9 @@ def _pair_segments(docs: DataFrame, buckets: int, bits_per_entry: float) -> Data
 
     def count(table: pa.Table) -> pa.Table:
         hashes, numbers = [], []
-        for p, m in zip(table["pairs"].to_pylist(), table["more"].to_pylist()):
-            hashes.append(np.frombuffer(p, np.uint64))
-            more = np.frombuffer(m, np.uint32)
+        for p, m in zip(table["pairs"], table["more"]):
+            hashes.append(np.frombuffer(p.as_buffer(), np.uint64))
+            more = np.frombuffer(m.as_buffer(), np.uint32)
             numbers.append(np.append(np.ones(len(hashes[-1]) - len(more), np.uint32), more))
         hashes, numbers = np.concatenate(hashes), np.concatenate(numbers)
         order = np.argsort(hashes)
@@ -219,7 +219,7 @@ def _pair_segments(docs: DataFrame, buckets: int, bits_per_entry: float) -> Data
         segment = LogFilter.segment(hashes[starts][kept], total[kept], bits_per_entry)
         return pa.table([pa.array([table["bucket"][0].as_py()], pa.int32()), pa.array([segment], pa.binary())], names=["bucket", "segment"])
 
-    rows = docs.where("NOT held_out").select("text").mapInArrow(emit, "bucket int, pairs binary, more binary")
+    rows = in_batches(docs.where("NOT held_out").select("text")).mapInArrow(emit, "bucket int, pairs binary, more binary")
     return rows.groupBy("bucket").applyInArrow(count, "bucket int, segment binary")
 
 
@@ -273,7 +273,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "held_out", "n_tokens", "score"])
 
-    scored = docs.mapInArrow(score, "doc_id bigint, text_key bigint, held_out boolean, n_tokens bigint, score double")
+    scored = in_batches(docs).mapInArrow(score, "doc_id bigint, text_key bigint, held_out boolean, n_tokens bigint, score double")
     parts = counted.where("total IS NULL").select("bucket", F.explode(F.arrays_zip("doc_id", "text_key", "log_sum", "known")).alias("x"))
     base = parts.groupBy(F.col("x.doc_id").alias("_id"), F.col("x.text_key").alias("_key")).agg(
         F.sum("x.log_sum").alias("logs"), F.sum("x.known").alias("known"), F.count(F.when(F.col("bucket") == 0, 1)).alias("rows")
@@ -286,5 +286,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 
 def _count(level: np.ndarray) -> np.ndarray:
-    """The count that a level stands for: the middle of its range, and exactly 1 for the first."""
-    return np.where(level > 0, np.floor(1.5 * 2.0 ** (level - 1)), 0.0)
+    """The mean count of a level, if counts fall off with their square: 1, 2.3, 5, then near 1.4 times the range's begin."""
+    means = np.array([0.0, 1.0] + [_mean(2.0 ** (q - 1)) for q in range(2, 64)])
+    return means[level]
+
+
+def _mean(begin: float) -> float:
+    if begin > 64:
+        return begin * 2 * np.log(2)
+    c = np.arange(begin, 2 * begin)
+    return float((1 / c).sum() / (1 / c**2).sum())

@@ -15,6 +15,7 @@ import pyarrow as pa
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are handled at once; a longer text is a batch of its own.
 SLICE_BYTES = 4 << 20
+HASH_BYTES = 1 << 20
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
 
@@ -118,12 +119,26 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
 
 
 def slice_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each slice of the bytes, alike wherever the slice stands."""
+    """A 64-bit hash of each slice of the bytes, alike wherever the slice stands. Starts and ends rise.
+
+    Sums of bytes times powers, of about ``HASH_BYTES`` at a time, so that the numbers for each byte stay few.
+    """
     value = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(value[data] * powers(_BASE, len(data)), out=total[1:])
-    back = powers(pow(_BASE, -1, 2**64), len(data) + 1)
-    return mixed((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
+    out = np.empty(len(start), np.uint64)
+    begin, there, back = 0, powers(_BASE, 0), powers(1, 0)
+    while begin < len(start):
+        base = start[begin]
+        stop = max(begin + 1, int(np.searchsorted(end, base + HASH_BYTES, side="right")))
+        part = value[data[base : end[stop - 1]]]
+        if len(part) >= len(back):
+            there, back = powers(_BASE, len(part)), powers(pow(_BASE, -1, 2**64), len(part) + 1)
+        part *= there[: len(part)]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part, out=total[1:])
+        s, e = start[begin:stop] - base, end[begin:stop] - base
+        out[begin:stop] = mixed((total[e] - total[s]) * back[s] + (e - s).astype(np.uint64))
+        begin = stop
+    return out
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -47,7 +47,11 @@ def crc(doc_id):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
 
 
-def test_words_of_random_texts():
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 20])
+def test_words_of_random_texts(monkeypatch, at_once):
+    import tablehaul.llm.textarrays as textarrays
+
+    monkeypatch.setattr(textarrays, "HASH_BYTES", at_once)
     texts = random_texts(1)
     words = words_of(pa.array(texts, pa.string()))
     by_hash = {}
