@@ -8,6 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes of a batch of rows that goes to Python: it lies in both processes at once, beside what is made of it.
+ARROW_BYTES = 8 << 20
+_ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, for Arrow functions; lowers the session's bound of a batch to ``ARROW_BYTES`` if it is larger.
+
+    The session's other bound counts rows, and ten thousand long texts are far too many.
+    """
+    conf = df.sparkSession.conf
+    now = int(conf.get(_ARROW_SETTING).lower().rstrip("b"))
+    if not 0 < now <= ARROW_BYTES:
+        conf.set(_ARROW_SETTING, f"{ARROW_BYTES}b")
+    return df
+
+
 def schema_with(docs: DataFrame, added: str) -> T.StructType:
     """The columns of ``docs`` and then the added ones; an added column takes the place of one with its name."""
     new = T._parse_datatype_string(added)

@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.components import connected, join_counted, stored
+from tablehaul.llm.frames import in_batches
 from tablehaul.llm.textarrays import byte_slices, distinct_by_text, mixed, windows, words_of
 
 #: Bytes of entries in a bucket, and shingles of the sets in a tile.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 TILE_SHINGLES = 1_000_000
 #: Cells of the membership table of probes and shingles.
 TABLE_CELLS = 32 << 20
@@ -93,7 +94,7 @@ def _entries(docs: DataFrame, rule: Similarity, buckets: int) -> DataFrame:
             home = (mixed(tokens.copy()) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(home, kind="stable")
             edges = np.searchsorted(home[order], np.arange(buckets + 1))
-            nodes = [x.tobytes() for x in (sig[once], size[once], np.array(taken, np.int64))]
+            nodes = sig[once].tobytes() + np.stack([size[once], np.array(taken, np.int64)]).astype(np.uint32).tobytes()
             shift = (int(sig[0]) + number) % buckets if len(sig) else 0
             rows = {"bucket": [], "docs": [], "tokens": [], "owner": [], "nodes": []}
             for b in range(buckets):
@@ -107,7 +108,7 @@ def _entries(docs: DataFrame, rule: Similarity, buckets: int) -> DataFrame:
                 ] if with_docs else [])
                 rows["tokens"].append(tokens[own].tobytes())
                 rows["owner"].append(owner[own].tobytes())
-                rows["nodes"].append(b"".join(nodes) if len(own) else b"")
+                rows["nodes"].append(nodes if len(own) else b"")
             yield pa.RecordBatch.from_pydict(rows, schema=shipped)
 
     shipped = pa.schema([
@@ -123,14 +124,18 @@ def _entries(docs: DataFrame, rule: Similarity, buckets: int) -> DataFrame:
             pa.array([d["sig"] for d in docs_of], pa.int64()), pa.array([d["n"] for d in docs_of], pa.int64()),
             *[pa.nulls(len(docs_of), pa.int64())] * 3,
         ]
-        tokens, columns = [np.zeros(0, np.uint64)], [np.zeros((3, 0), np.int64)]
-        for t, o, n in zip(table["tokens"].to_pylist(), table["owner"].to_pylist(), table["nodes"].to_pylist()):
-            if n:
-                tokens.append(np.frombuffer(t, np.uint64))
-                columns.append(np.frombuffer(n, np.int64).reshape(3, -1)[:, np.frombuffer(o, np.int32)])
-        token, (sig, n, taken) = np.concatenate(tokens), np.concatenate(columns, axis=1)
+        tokens, sigs, small = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.uint32)]
+        for t, o, n in zip(table["tokens"], table["owner"], table["nodes"]):
+            t, o, n = (np.frombuffer(x.as_buffer(), np.uint8) for x in (t, o, n))
+            if len(n):
+                held, owner = len(n) // 16 * 8, o.view(np.int32)
+                tokens.append(t.view(np.uint64))
+                sigs.append(n[:held].view(np.int64)[owner])
+                small.append(n[held:].view(np.uint32).reshape(2, -1)[:, owner])
+        token, sig = np.concatenate(tokens), np.concatenate(sigs)
         order = np.lexsort((sig, token))
-        token, sig, n, taken = token[order], sig[order], n[order], taken[order]
+        token, sig = token[order], sig[order]
+        n, taken = np.concatenate(small, axis=1)[:, order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1]) | (n[1:] != n[:-1])
         token, sig, n, taken = token[new], sig[new], n[new], taken[new]
@@ -140,12 +145,12 @@ def _entries(docs: DataFrame, rule: Similarity, buckets: int) -> DataFrame:
         early = token[shared] <= np.uint64(int(rule.part * (2**64 - 2**12)))
         rank = np.where(early, frequency[shared], np.int64(1) << 62)
         kind1 = [
-            np.ones(int(shared.sum()), np.int32), pa.nulls(int(shared.sum()), pa.int64()), sig[shared], n[shared], taken[shared],
+            np.ones(int(shared.sum()), np.int32), pa.nulls(int(shared.sum()), pa.int64()), sig[shared], n[shared].astype(np.int64), taken[shared].astype(np.int64),
             token[shared].view(np.int64), rank,
         ]
         return pa.table([pa.chunked_array([pa.array(a), pa.array(b)]) for a, b in zip(kind0, kind1)], names=names)
 
-    sent = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    sent = in_batches(docs.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(
         emit, "bucket int, docs array<struct<doc_id:bigint,sig:bigint,n:bigint>>, tokens binary, owner binary, nodes binary"
     )
     return sent.groupBy("bucket").applyInArrow(count, ENTRY_FIELDS)
@@ -258,7 +263,7 @@ def _links(docs: DataFrame, tiles: DataFrame, rule: Similarity) -> DataFrame:
         found = trie_links(sets, sizes, np.flatnonzero(part == a), np.flatnonzero(part == b), rule)
         return pa.table([pa.array(sig[[x for x, _ in found]]), pa.array(sig[[y for _, y in found]])], names=["a", "b"]) if found else pa.table([pa.array([], pa.int64())] * 2, names=["a", "b"])
 
-    sets = texts.mapInArrow(sets_of, "sig bigint, block bigint, a int, b int, part int, shingles binary")
+    sets = in_batches(texts).mapInArrow(sets_of, "sig bigint, block bigint, a int, b int, part int, shingles binary")
     return sets.groupBy("block", "a", "b").applyInArrow(join, "a bigint, b bigint")
 
 

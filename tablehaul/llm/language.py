@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablehaul.llm.frames import batch_with, sampled, schema_with
+from tablehaul.llm.frames import batch_with, in_batches, sampled, schema_with
 from tablehaul.llm.textarrays import byte_slices, crc32_mod, flat, mixed, sums
 
 SIZES = (2, 3, 4)
@@ -122,7 +122,7 @@ def fit_language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Filters:
                     names = pa.array([name] * len(values), pa.string())
                     yield pa.RecordBatch.from_arrays([names, pa.array(np.full(len(values), size, np.int32)), pa.array(values.view(np.int64)), pa.array(n)], ["lang", "size", "gram", "n"])
 
-    grams = chosen.mapInArrow(count, "lang string, size int, gram bigint, n bigint").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    grams = in_batches(chosen).mapInArrow(count, "lang string, size int, gram bigint, n bigint").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     # A language has a few thousand n-grams of a size in the bounded sample; only the most frequent come back.
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram"))
     kept = grams.withColumn("place", place).where(F.col("place") <= KEPT).select("lang", "gram").collect()
@@ -142,4 +142,4 @@ def identify_language(docs: DataFrame, filters: Filters) -> DataFrame:
             names, score = filters.judge(batch.column("text"))
             yield batch_with(batch, {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score)})
 
-    return docs.mapInArrow(judge, schema_with(docs, "lang_pred string, score double"))
+    return in_batches(docs).mapInArrow(judge, schema_with(docs, "lang_pred string, score double"))

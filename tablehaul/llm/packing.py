@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablehaul.llm.frames import in_batches
 from tablehaul.llm.textarrays import SPACES, byte_slices, byte_table, flat, lower_table, strings
 
 #: Token ids in a sequence.
@@ -26,10 +27,10 @@ SEQUENCE = 2048
 END_ID = 0
 #: Documents whose last pieces are packed together.
 GROUP_DOCS = 20_000
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 UNITS_PER_STRING = 400
 #: Units that a Python worker remembers, about 200 bytes each.
-UNITS_KEPT = 400_000
+UNITS_KEPT = 250_000
 
 
 @cache
@@ -143,7 +144,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, with_ids: bo
 
     kind = dict(docs.dtypes)["doc_id"]
     last = "ids array<bigint>" if with_ids else "ids_crc32 bigint"
-    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, {last}")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, {last}")
 
 
 def best_two_fit(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.frames import batch_with, sampled, schema_with
+from tablehaul.llm.frames import batch_with, in_batches, sampled, schema_with
 from tablehaul.llm.textarrays import SPACES, byte_slices, byte_table, flat, runs, slice_hashes, sums, windows
 
 SYMBOLS = b"#*$%&|<>"
@@ -216,7 +216,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
             _, x = statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("quality"), pa.array(list(x))], ["doc_id", "y", "x"])
 
-    rows = labelled.select("doc_id", "text", "quality").mapInArrow(measure, "doc_id bigint, y int, x array<double>")
+    rows = in_batches(labelled.select("doc_id", "text", "quality")).mapInArrow(measure, "doc_id bigint, y int, x array<double>")
     got = rows.toPandas().sort_values("doc_id", kind="stable")
     y = got["y"].to_numpy(float) > 0
     if not len(y) or y.all() or not y.any():
@@ -246,4 +246,4 @@ def judge_quality(docs: DataFrame, trees: Trees | None, least_quality: float = L
             columns = {k: pa.array(v) for k, v in counts.items()}
             yield batch_with(batch, columns | {"base_failed": pa.array(failed), "kept": pa.array(kept), "quality_score": scores})
 
-    return docs.mapInArrow(judge, schema_with(docs, added))
+    return in_batches(docs).mapInArrow(judge, schema_with(docs, added))

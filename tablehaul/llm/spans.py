@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.components import join_counted, stored
-from tablehaul.llm.frames import batch_with, schema_with
+from tablehaul.llm.frames import batch_with, in_batches, schema_with
 from tablehaul.llm.textarrays import byte_slices, flat, mixed, powers, words_of
 
 #: A span ends with the first sentence that gives it two sentences and so many words,
@@ -85,7 +85,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "begin", "end", "h1", "h2"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(find, "doc_id bigint, begin int, end int, h1 bigint, h2 bigint")
+    rows = in_batches(docs.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(find, "doc_id bigint, begin int, end int, h1 bigint, h2 bigint")
     return rows.withColumn("h", F.struct("h1", "h2")).drop("h1", "h2")
 
 
@@ -129,4 +129,4 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
             result = batch_with(batch, added)
             yield result.select([x for x in result.schema.names if x != "_covered"])
 
-    return joined.mapInArrow(cut, schema_with(docs.drop("_covered"), "text string, n_sentences bigint, n_removed bigint"))
+    return in_batches(joined).mapInArrow(cut, schema_with(docs.drop("_covered"), "text string, n_sentences bigint, n_removed bigint"))

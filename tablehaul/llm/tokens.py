@@ -15,11 +15,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tablehaul.llm.frames import batch_with, schema_with
+from tablehaul.llm.frames import batch_with, in_batches, schema_with
 from tablehaul.llm.textarrays import byte_slices, flat, strings, sums
 
 #: Bytes of text that are encoded together.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 #: Units given to the library in one call.
 UNITS_PER_CALL = 20_000
 #: The library's sign for a blank. A text that spells it is encoded whole.
@@ -94,4 +94,4 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
             size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             yield batch_with(batch, {"n_bytes": size, "n_tokens": pa.array(n), "over_limit": pa.array(n > limit)})
 
-    return docs.mapInArrow(count, schema_with(docs, "n_bytes bigint, n_tokens bigint, over_limit boolean"))
+    return in_batches(docs).mapInArrow(count, schema_with(docs, "n_bytes bigint, n_tokens bigint, over_limit boolean"))
