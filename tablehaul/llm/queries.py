@@ -85,7 +85,64 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@registered()
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+
+JACCARD_SQL = f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '{_BLANK}+'), lambda w: w <> '') AS w
+        FROM documents),
+    sets AS (
+        SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM words),
+    items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+    both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a)
+    SELECT doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(other) AS component_id
+    FROM sets JOIN reached USING (doc_id) GROUP BY doc_id
+"""
+
+SPANS_SQL = f"""
+    WITH pieces AS (
+        SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '{_SOLID}+{_BLANK}*') AS p FROM documents)),
+    words AS (SELECT *, regexp_extract(piece, '^{_SOLID}+') AS word FROM pieces),
+    numbered AS (
+        SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS s FROM (
+            SELECT *, CASE WHEN i = 1 OR lag(regexp_matches(word, '[.!?]["'')\\]]?$') OR contains(piece, chr(10)))
+                OVER (PARTITION BY doc_id ORDER BY i) THEN 1 ELSE 0 END AS begins FROM words)),
+    sentences AS (
+        SELECT doc_id, s, count(*) AS n, string_agg({_LOWER.format("word")}, ' ' ORDER BY i) AS t,
+            string_agg(piece, '' ORDER BY i) AS raw FROM numbered GROUP BY doc_id, s),
+    summed AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY s) AS upto FROM sentences),
+    ends AS (
+        SELECT x.doc_id, x.s AS b, min(y.s) AS e FROM summed x JOIN summed y
+            ON x.doc_id = y.doc_id AND y.s BETWEEN x.s AND x.s + 40
+            AND ((y.s > x.s AND y.upto - x.upto + x.n >= 20) OR y.upto - x.upto + x.n >= 40)
+        GROUP BY x.doc_id, x.s),
+    spans AS (
+        SELECT doc_id, b, e, row_number() OVER (PARTITION BY t ORDER BY doc_id, b) AS place FROM (
+            SELECT ends.doc_id, b, e, string_agg(t, ' ' ORDER BY s) AS t
+            FROM ends JOIN sentences ON ends.doc_id = sentences.doc_id AND s BETWEEN b AND e GROUP BY ends.doc_id, b, e)),
+    gone AS (
+        SELECT DISTINCT spans.doc_id, s FROM spans JOIN sentences ON spans.doc_id = sentences.doc_id AND s BETWEEN b AND e
+        WHERE place > 1),
+    kept AS (
+        SELECT doc_id, count(*) AS n_sentences, count(gone.s) AS n_removed,
+            string_agg(raw, '' ORDER BY s) FILTER (gone.s IS NULL) AS rest
+        FROM sentences LEFT JOIN gone USING (doc_id, s) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed,
+        CASE WHEN coalesce(n_removed, 0) = 0 THEN text WHEN rest IS NULL THEN ''
+            ELSE regexp_extract(text, '^{_BLANK}*') || rest END AS text
+    FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
+@registered(JACCARD_SQL)
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"), Similarity(size=3, percent=90))
 
@@ -108,7 +165,7 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(documents.select("doc_id", "text"), trees).drop("text")
 
 
-@registered()
+@registered(SPANS_SQL)
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The text of every document without repeated spans, and how many sentences it had and lost."""
     return remove_repeated_spans(table(spark, folder, "documents").select("doc_id", "text"))

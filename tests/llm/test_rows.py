@@ -117,14 +117,17 @@ def test_tokens_of_rules():
     assert Rule("casino*win", "block").tokens == [] and Rule("/ads/*.gif", "block").tokens == ["ads"]
 
 
-def test_url_query_equals_sql(spark, folder):
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in queries.REGISTRY.items() if sql))
+def test_queries_equal_sql(spark, folder, name):
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet')")
-    query, sql = queries.REGISTRY["op1_url_filters"]
+    for table in ("pages", "documents"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    query, sql = queries.REGISTRY[name]
     got = query(spark, folder)
     want = db.execute(sql)
     names = [d[0] for d in want.description]
-    assert sorted(map(str, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(str, want.fetchall()))
+    assert set(names) == set(got.columns)
+    assert sorted(str(tuple(r[n] for n in names)) for r in got.collect()) == sorted(map(str, want.fetchall()))
 
 
 # --- tokens and packing -------------------------------------------------------------------------------
