@@ -27,10 +27,10 @@ SEQUENCE = 2048
 END_ID = 0
 #: Documents whose last pieces are packed together.
 GROUP_DOCS = 20_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 UNITS_PER_STRING = 400
 #: Units that a Python worker remembers, about 200 bytes each.
-UNITS_KEPT = 250_000
+UNITS_KEPT = 120_000
 
 
 @cache

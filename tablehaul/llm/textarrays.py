@@ -64,6 +64,7 @@ def byte_slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLIC
             end = min(max(end, begin + 1), batch.num_rows)
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
