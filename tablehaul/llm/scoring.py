@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,15 +114,23 @@ class LogFilter:
         return out
 
 
+SENT = (
+    "slice bigint, bucket int, doc_id array<bigint>, text_key array<bigint>, words binary, train binary, in_docs binary, "
+    "docs binary, doc binary, times binary"
+)
+
+
 def _sent(docs: DataFrame, buckets: int) -> DataFrame:
-    """For each slice and bucket: the words with their training counts, and the (document, word, times) that need them."""
-    kind = pa.schema([
-        ("bucket", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("text_key", pa.list_(pa.int64())), ("words", pa.binary()),
-        ("train", pa.binary()), ("in_docs", pa.binary()), ("doc", pa.binary()), ("times", pa.binary()),
-    ])
+    """For each slice and bucket with words: the words with their training counts, and the (document, word, times) that
+    need them. Documents are numbers in their slice; the slice's ids travel once, with one of its buckets.
+    """
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())] + [pa.binary()] * 6
+    names = [x.split()[0] for x in SENT.split(", ")]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text", SLICE):
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(byte_slices(batches, "text", SLICE)):
+            name = (part << 32) + number
             first, tokens = tokens_of(batch.column("text"))
             n = batch.num_rows
             owner = np.repeat(np.arange(n), np.diff(first))
@@ -132,31 +141,33 @@ def _sent(docs: DataFrame, buckets: int) -> DataFrame:
             word, doc = pair // n, pair % n
             home = bucket_of(words, buckets)
             order = np.argsort(home, kind="stable")
-            edges = np.searchsorted(home[order], np.arange(buckets + 1))
             starts = np.searchsorted(word, np.arange(len(words) + 1))
             in_docs = np.diff(starts)
-            ids, keys = batch.column("doc_id").to_pylist(), text_key(batch.column("text")).tolist()
-            for b in range(buckets):
-                own = order[edges[b] : edges[b + 1]]
+            here, edges = np.unique(home[order], return_index=True)
+            carrier = here[name % len(here)]
+            for b, own in zip(here.tolist(), np.split(order, edges[1:])):
                 sizes = in_docs[own]
                 rows = np.repeat(starts[own], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                columns = [
-                    [b], [ids], [keys], [words[own].tobytes()], [train[own].astype(np.uint32).tobytes()],
-                    [sizes.astype(np.uint32).tobytes()], [doc[rows].astype(np.uint32).tobytes()], [times[rows].astype(np.uint32).tobytes()],
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
-
-    return in_batches(docs.select("doc_id", "text", "held_out")).mapInArrow(
-        emit,
-        "bucket int, doc_id array<bigint>, text_key array<bigint>, words binary, train binary, in_docs binary, doc binary, times binary",
-    )
+                held, local = np.unique(doc[rows], return_inverse=True)
+                ids = batch.column("doc_id").to_pylist() if b == carrier else []
+                keys = text_key(batch.column("text")).tolist() if b == carrier else []
+                numbers = [x.astype(np.uint32).tobytes() for x in (train[own], sizes, held, local, times[rows])]
+                columns = [[name], [b], [ids], [keys], [words[own].tobytes()], *[[x] for x in numbers]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return in_batches(docs.select("doc_id", "text", "held_out")).mapInArrow(emit, SENT)
 
 
-COUNTED = "bucket int, doc_id array<bigint>, text_key array<bigint>, log_sum array<double>, known array<bigint>, total bigint, distinct bigint, segment binary"
+COUNTED = (
+    "slice bigint, bucket int, doc_id array<bigint>, text_key array<bigint>, docs binary, log_sum binary, known binary, "
+    "total bigint, distinct bigint, segment binary"
+)
 
 
 def _counted(sent: DataFrame, bits_per_entry: float) -> DataFrame:
     """For each slice and bucket, sums per document; and once for each bucket its totals and its filter segment."""
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    names = [x.split()[0] for x in COUNTED.split(", ")]
 
     def count(table: pa.Table) -> pa.Table:
         words = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["words"]]
@@ -164,32 +175,41 @@ def _counted(sent: DataFrame, bits_per_entry: float) -> DataFrame:
         distinct, code = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(code, np.concatenate(train), minlength=len(distinct)).astype(np.int64)
         log = np.log10(total + 1.0)
-        rows: dict[str, list] = {name: [] for name in names}
-        at = 0
+        sums, known, at = [], [], 0
         for i in range(table.num_rows):
             own = code[at : at + len(words[i])]
             at += len(words[i])
-            ids, keys = table["doc_id"][i].as_py(), table["text_key"][i].as_py()
             in_docs, doc, times = (np.frombuffer(table[c][i].as_buffer(), np.uint32) for c in ("in_docs", "doc", "times"))
             which = np.repeat(own, in_docs)
-            sums = np.bincount(doc, times * log[which], minlength=len(ids)) if len(doc) else np.zeros(len(ids))
-            known = np.bincount(doc, times * (total[which] > 0), minlength=len(ids)) if len(doc) else np.zeros(len(ids))
-            for name, value in zip(names, (table["bucket"][i].as_py(), ids, keys, sums, known.astype(np.int64), None, None, None)):
-                rows[name].append(value)
+            sums.append(np.bincount(doc, times * log[which]).tobytes())
+            known.append(np.bincount(doc, times * (total[which] > 0)).astype(np.int64).tobytes())
         seen = total > 0
         segment = LogFilter.segment(distinct[seen], total[seen], bits_per_entry)
-        for name, value in zip(names, (table["bucket"][0].as_py(), [], [], [], [], int(total.sum()), int(seen.sum()), segment)):
-            rows[name].append(value)
-        kinds = [
-            pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.int64(),
-            pa.int64(), pa.binary(),
-        ]
-        return pa.table([pa.array(rows[n], k) for n, k in zip(names, kinds)], names=names)
-
-    names = ["bucket", "doc_id", "text_key", "log_sum", "known", "total", "distinct", "segment"]
+        none = [None] * table.num_rows
+        columns = [table[c].combine_chunks().to_pylist() for c in ("slice", "bucket", "doc_id", "text_key", "docs")]
+        columns += [sums, known, none, none, none]
+        own_row = [None, columns[1][0], [], [], None, None, None, int(total.sum()), int(seen.sum()), segment]
+        return pa.table([pa.array([*c, x], k) for c, x, k in zip(columns, own_row, kinds)], names=names)
+
     return sent.groupBy("bucket").applyInArrow(count, COUNTED)
 
 
+def _base(counted: DataFrame) -> DataFrame:
+    """A row for each document: what its slice's buckets have for it, added up."""
+
+    def add(table: pa.Table) -> pa.Table:
+        ids = [x for row in table["doc_id"].to_pylist() for x in row]
+        keys = [x for row in table["text_key"].to_pylist() for x in row]
+        logs, known = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+        for d, s, k in zip(table["docs"], table["log_sum"], table["known"]):
+            at = np.frombuffer(d.as_buffer(), np.uint32)
+            logs[at] += np.frombuffer(s.as_buffer(), np.float64)
+            known[at] += np.frombuffer(k.as_buffer(), np.int64)
+        return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(logs), pa.array(known)], names=["_id", "_key", "logs", "known"])
+
+    return counted.groupBy("slice").applyInArrow(add, "_id bigint, _key bigint, logs double, known bigint")
+
+
 def _pair_segments(docs: DataFrame, buckets: int, bits_per_entry: float) -> DataFrame:
     """Filter segments of the pairs in training texts."""
 
@@ -274,14 +294,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "held_out", "n_tokens", "score"])
 
     scored = in_batches(docs).mapInArrow(score, "doc_id bigint, text_key bigint, held_out boolean, n_tokens bigint, score double")
-    parts = counted.where("total IS NULL").select("bucket", F.explode(F.arrays_zip("doc_id", "text_key", "log_sum", "known")).alias("x"))
-    base = parts.groupBy(F.col("x.doc_id").alias("_id"), F.col("x.text_key").alias("_key")).agg(
-        F.sum("x.log_sum").alias("logs"), F.sum("x.known").alias("known"), F.count(F.when(F.col("bucket") == 0, 1)).alias("rows")
-    )
+    # Rows that were repeated have equal sums; one is enough.
+    base = _base(counted.where("total IS NULL")).groupBy("_id", "_key").agg(F.min("logs").alias("logs"), F.min("known").alias("known"))
     joined = scored.join(base, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
     return joined.select(
-        "doc_id", "held_out", "n_tokens", F.expr("known div rows").alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
-        (F.col("logs") / F.col("rows") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"), "score",
+        "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
+        (F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"), "score",
     )
 
 
