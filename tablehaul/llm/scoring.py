@@ -1,8 +1,10 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 Counts of words and word pairs are made over all training texts, quantised on a logarithmic scale, and stored in a Bloom
-filter: an n-gram of level q is entered once for each level up to q. The filter is broadcast; a count is read by
-probing level after level until one is missing. Probabilities are interpolated from what the probes say.
+filter: an n-gram of level q is entered once for each level up to q. A count is read by probing level after level until
+one is missing. The filter is broadcast while it is small; a larger one stays in its segments, and the n-grams of each
+slice of texts go to the segment of their bucket and come back with their levels. Probabilities are interpolated from
+what the probes say.
 
 The exact base score needs each word's exact count, which no task holds for all words: the words of each slice of texts
 go to the bucket of their hash, are counted there, and only sums per document come back.
@@ -10,7 +12,7 @@ go to the bucket of their hash, are counted there, and only sums per document co
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +29,10 @@ from tablehaul.llm.textarrays import byte_slices, flat, mixed, slice_hashes, wor
 BUCKET_TEXT = 24 << 20
 BITS_PER_ENTRY = 12
 PROBES = 5
-#: The filter's size is bounded by this; beyond it an entry has fewer bits and false positives rise.
+#: A filter up to this size is broadcast; a larger one is asked segment by segment.
 MOST_FILTER_BYTES = 192 << 20
+#: Counts are below 2**63.
+MOST_LEVEL = 63
 #: Pairs seen less often are left to the words' own probabilities.
 LEAST_PAIR_COUNT = 2
 #: Weight of the pair's estimate at a history seen very often, and the count at which half of it is reached.
@@ -104,7 +108,7 @@ class LogFilter:
         home = bucket_of(hashes, self.buckets)
         base, size = self.start[home], (self.start[home + 1] - self.start[home]) * 8
         level = 1
-        while len(at):
+        while len(at) and level <= MOST_LEVEL:
             there = np.ones(len(at), bool)
             for place in self._places(hashes[at], level, size[at]):
                 there &= (self.bits[base[at] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 > 0
@@ -164,7 +168,7 @@ COUNTED = (
 )
 
 
-def _counted(sent: DataFrame, bits_per_entry: float) -> DataFrame:
+def _counted(sent: DataFrame) -> DataFrame:
     """For each slice and bucket, sums per document; and once for each bucket its totals and its filter segment."""
     kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
     names = [x.split()[0] for x in COUNTED.split(", ")]
@@ -184,7 +188,7 @@ def _counted(sent: DataFrame, bits_per_entry: float) -> DataFrame:
             sums.append(np.bincount(doc, times * log[which]).tobytes())
             known.append(np.bincount(doc, times * (total[which] > 0)).astype(np.int64).tobytes())
         seen = total > 0
-        segment = LogFilter.segment(distinct[seen], total[seen], bits_per_entry)
+        segment = LogFilter.segment(distinct[seen], total[seen], BITS_PER_ENTRY)
         none = [None] * table.num_rows
         columns = [table[c].combine_chunks().to_pylist() for c in ("slice", "bucket", "doc_id", "text_key", "docs")]
         columns += [sums, known, none, none, none]
@@ -210,7 +214,7 @@ def _base(counted: DataFrame) -> DataFrame:
     return counted.groupBy("slice").applyInArrow(add, "_id bigint, _key bigint, logs double, known bigint")
 
 
-def _pair_segments(docs: DataFrame, buckets: int, bits_per_entry: float) -> DataFrame:
+def _pair_segments(docs: DataFrame, buckets: int) -> DataFrame:
     """Filter segments of the pairs in training texts."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +240,7 @@ def _pair_segments(docs: DataFrame, buckets: int, bits_per_entry: float) -> Data
         starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         total = np.add.reduceat(numbers, starts, dtype=np.int64)
         kept = total >= LEAST_PAIR_COUNT
-        segment = LogFilter.segment(hashes[starts][kept], total[kept], bits_per_entry)
+        segment = LogFilter.segment(hashes[starts][kept], total[kept], BITS_PER_ENTRY)
         return pa.table([pa.array([table["bucket"][0].as_py()], pa.int32()), pa.array([segment], pa.binary())], names=["bucket", "segment"])
 
     rows = in_batches(docs.where("NOT held_out").select("text")).mapInArrow(emit, "bucket int, pairs binary, more binary")
@@ -248,6 +252,92 @@ def _filter(segments: dict[int, bytes], buckets: int) -> LogFilter:
     return LogFilter(np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts])))
 
 
+#: From distinct n-grams to their levels.
+Levels = Callable[[np.ndarray], np.ndarray]
+SCORED = "doc_id bigint, text_key bigint, held_out boolean, n_tokens bigint, score double"
+NAMES = [x.split()[0] for x in SCORED.split(", ")]
+
+
+def _scored(batch: pa.RecordBatch | pa.Table, word_levels: Levels, pair_levels: Levels, n: int, v: int) -> list[pa.Array]:
+    """The columns of ``SCORED`` for some texts, given the levels of distinct words and pairs."""
+    texts = batch.column("text")
+    first, tokens = tokens_of(texts)
+    distinct, code = np.unique(tokens, return_inverse=True)
+    count = _count(word_levels(distinct))
+    before = np.empty_like(code)
+    before[1:] = code[:-1]
+    before[first[:-1]] = np.searchsorted(distinct, np.uint64(END))
+    pair, pair_code = np.unique(pairs_of(first, tokens), return_inverse=True)
+    pair_count = _count(pair_levels(pair))[pair_code]
+    history = np.maximum(count[before], pair_count)
+    single = (count[code] + 1) / (n + v + 1)
+    weight = PAIR_WEIGHT * history / (history + HALF_COUNT)
+    value = np.log10(weight * pair_count / np.maximum(history, 1) + (1 - weight) * single)
+    sums = pa.array(np.add.reduceat(value, first[:-1]))
+    return [batch.column("doc_id"), pa.array(text_key(texts)), batch.column("held_out"), pa.array(np.diff(first)), sums]
+
+
+def _scores_by_broadcast(docs: DataFrame, words: DataFrame, pairs: DataFrame, buckets: int, n: int, v: int) -> DataFrame:
+    filters = [_filter({r["bucket"]: bytes(r["segment"]) for r in x.collect()}, buckets) for x in (words, pairs)]
+    sent = docs.sparkSession.sparkContext.broadcast([(x.bits, x.start) for x in filters])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_filter, pair_filter = (LogFilter(*x) for x in sent.value)
+        for batch in byte_slices(batches, "text", SLICE // 2):
+            yield pa.RecordBatch.from_arrays(_scored(batch, word_filter.levels, pair_filter.levels, n, v), names=NAMES)
+
+    return in_batches(docs).mapInArrow(score, SCORED)
+
+
+def _scores_by_segment(docs: DataFrame, words: DataFrame, pairs: DataFrame, buckets: int, n: int, v: int) -> DataFrame:
+    """The same scores with no filter in one place: a task holds one segment, or one slice of texts and its levels."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(byte_slices(batches, "text", SLICE // 2)):
+            names = pa.array(np.full(batch.num_rows, (part << 32) + number))
+            yield pa.RecordBatch.from_arrays([names, *(batch.column(c) for c in ("doc_id", "text", "held_out"))], names=["slice", "doc_id", "text", "held_out"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text", SLICE // 2):
+            names = batch.column("slice").to_numpy()
+            edges = np.flatnonzero(np.append(True, names[1:] != names[:-1])).tolist() + [len(names)]
+            for begin, end in zip(edges[:-1], edges[1:]):
+                first, tokens = tokens_of(batch.column("text").slice(begin, end - begin))
+                rows = []
+                for kind, grams in enumerate((np.unique(tokens), np.unique(pairs_of(first, tokens)))):
+                    home = bucket_of(grams, buckets)
+                    order = np.argsort(home, kind="stable")
+                    here, starts = np.unique(home[order], return_index=True)
+                    rows += [(names[begin], kind, b, own.tobytes()) for b, own in zip(here, np.split(grams[order], starts[1:]))]
+                columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "kind", "bucket", "grams"])
+
+    def answer(asked: pa.Table, segment: pa.Table) -> pa.Table:
+        bits = np.frombuffer(segment["segment"][0].as_buffer() if segment.num_rows else bytes(8), np.uint8)
+        filter_ = LogFilter(bits, np.array([0, len(bits)]))
+        levels = [filter_.levels(np.frombuffer(x.as_buffer(), np.uint64)).astype(np.uint8).tobytes() for x in asked["grams"]]
+        return pa.table([asked["slice"], asked["kind"], asked["grams"], pa.array(levels, pa.binary())], names=["slice", "kind", "grams", "levels"])
+
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        kinds = answers["kind"].to_numpy()
+
+        def told(kind: int) -> Levels:
+            own = answers.filter(pa.array(kinds == kind))
+            grams = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in own["grams"]])
+            levels = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in own["levels"]])
+            grams, once = np.unique(grams, return_index=True)
+            return lambda hashes: levels[once][np.searchsorted(grams, hashes)].astype(np.int64)
+
+        return pa.table(_scored(texts, told(0), told(1), n, v), names=NAMES)
+
+    slices = stored(in_batches(docs).mapInArrow(cut, "slice bigint, doc_id bigint, text string, held_out boolean"), "slices")
+    asked = in_batches(slices.select("slice", "text")).mapInArrow(ask, "slice bigint, kind int, bucket int, grams binary")
+    segments = words.withColumn("kind", F.lit(0)).unionByName(pairs.withColumn("kind", F.lit(1)))
+    answers = asked.groupBy("kind", "bucket").cogroup(segments.groupBy("kind", "bucket")).applyInArrow(answer, "slice bigint, kind int, grams binary, levels binary")
+    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, SCORED)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id bigint, text, held_out boolean); rows with ``held_out`` teach nothing.
 
@@ -255,45 +345,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
     sequence of words and an end; a null or empty text is the end alone. A null doc_id is a value like any other, and
     repeated rows are scored each. Without training texts every token is unknown. Other columns are not looked at.
 
-    The filter has ``BITS_PER_ENTRY`` bits for each level of each n-gram up to ``MOST_FILTER_BYTES``.
+    The filter has ``BITS_PER_ENTRY`` bits for each level of each n-gram, however many there are.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-volume // BUCKET_TEXT))
-    # About an entry for 8 bytes of text at most: known before counting, so that all segments keep within the bound.
-    bits = max(0.5, min(BITS_PER_ENTRY, MOST_FILTER_BYTES * 8 / max(1, volume / 8)))
-    counted = stored(_counted(_sent(docs, buckets), bits), "word-counts")
+    counted = stored(_counted(_sent(docs, buckets)), "word-counts")
     whole = counted.where("total IS NOT NULL")
     totals = whole.agg(F.sum("total"), F.sum("distinct")).first()
     n, v = totals[0] or 0, totals[1] or 0
-    # Segments are bounded by MOST_FILTER_BYTES together; they are model parameters, not rows of documents.
-    words = _filter({r["bucket"]: bytes(r["segment"]) for r in whole.select("bucket", "segment").collect()}, buckets)
-    pairs = _filter({r["bucket"]: bytes(r["segment"]) for r in _pair_segments(docs, buckets, bits).collect()}, buckets)
-    sent = spark.sparkContext.broadcast((words.bits, words.start, pairs.bits, pairs.start))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_filter, pair_filter = LogFilter(*sent.value[:2]), LogFilter(*sent.value[2:])
-        for batch in byte_slices(batches, "text", SLICE // 2):
-            first, tokens = tokens_of(batch.column("text"))
-            distinct, code = np.unique(tokens, return_inverse=True)
-            count = _count(word_filter.levels(distinct))
-            before = np.empty_like(code)
-            before[1:] = code[:-1]
-            before[first[:-1]] = np.searchsorted(distinct, np.uint64(END))
-            pair, pair_code = np.unique(pairs_of(first, tokens), return_inverse=True)
-            pair_count = _count(pair_filter.levels(pair))[pair_code]
-            history = np.maximum(count[before], pair_count)
-            single = (count[code] + 1) / (n + v + 1)
-            weight = PAIR_WEIGHT * history / (history + HALF_COUNT)
-            value = np.log10(weight * pair_count / np.maximum(history, 1) + (1 - weight) * single)
-            columns = [
-                batch.column("doc_id"), pa.array(text_key(batch.column("text"))), batch.column("held_out"), pa.array(np.diff(first)),
-                pa.array(np.add.reduceat(value, first[:-1])),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "held_out", "n_tokens", "score"])
-
-    scored = in_batches(docs).mapInArrow(score, "doc_id bigint, text_key bigint, held_out boolean, n_tokens bigint, score double")
+    words, pairs = whole.select("bucket", "segment"), stored(_pair_segments(docs, buckets), "pair-segments")
+    held = words.unionByName(pairs).agg(F.sum(F.octet_length("segment"))).first()[0] or 0
+    # What is collected and broadcast are model parameters of counted size, not rows of documents.
+    scores = _scores_by_broadcast if held <= MOST_FILTER_BYTES else _scores_by_segment
+    scored = scores(docs, words, pairs, buckets, n, v)
     # Rows that were repeated have equal sums; one is enough.
     base = _base(counted.where("total IS NULL")).groupBy("_id", "_key").agg(F.min("logs").alias("logs"), F.min("known").alias("known"))
     joined = scored.join(base, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
@@ -305,7 +370,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 def _count(level: np.ndarray) -> np.ndarray:
     """The mean count of a level, if counts fall off with their square: 1, 2.3, 5, then near 1.4 times the range's begin."""
-    means = np.array([0.0, 1.0] + [_mean(2.0 ** (q - 1)) for q in range(2, 64)])
+    means = np.array([0.0, 1.0] + [_mean(2.0 ** (q - 1)) for q in range(2, MOST_LEVEL + 1)])
     return means[level]
 
 

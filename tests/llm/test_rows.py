@@ -379,6 +379,22 @@ def test_scores_without_training_or_rows(spark):
     assert score_documents(table.limit(0)).collect() == []
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(spark, odd_rows, texts, monkeypatch):
+    import tablehaul.llm.scoring as scoring
+
+    monkeypatch.setattr(scoring, "BUCKET_TEXT", 100_000)
+    monkeypatch.setattr(scoring, "SLICE", 60_000)
+    rows = [(d, t, crc(d) % 7 == 2) for d, t in odd_rows + [(d + 100, t) for d, t in texts]]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean").repartition(3)
+    key = lambda r: (str(r[0]), r[2], r[5], r[6])
+    scored = lambda: sorted(map(tuple, score_documents(table).collect()), key=key)
+    want = scored()
+    monkeypatch.setattr(scoring, "MOST_FILTER_BYTES", 1000)
+    got = scored()
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
