@@ -33,8 +33,6 @@ PROBES = 5
 MOST_FILTER_BYTES = 192 << 20
 #: Counts are below 2**63.
 MOST_LEVEL = 63
-#: Pairs seen less often are left to the words' own probabilities.
-LEAST_PAIR_COUNT = 2
 #: Weight of the pair's estimate at a history seen very often, and the count at which half of it is reached.
 PAIR_WEIGHT, HALF_COUNT = 0.6, 8.0
 END = int(mixed(np.array([0x5851F42D4C957F2D], np.uint64))[0])
@@ -239,8 +237,7 @@ def _pair_segments(docs: DataFrame, buckets: int) -> DataFrame:
         hashes, numbers = hashes[order], numbers[order]
         starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         total = np.add.reduceat(numbers, starts, dtype=np.int64)
-        kept = total >= LEAST_PAIR_COUNT
-        segment = LogFilter.segment(hashes[starts][kept], total[kept], BITS_PER_ENTRY)
+        segment = LogFilter.segment(hashes[starts], total, BITS_PER_ENTRY)
         return pa.table([pa.array([table["bucket"][0].as_py()], pa.int32()), pa.array([segment], pa.binary())], names=["bucket", "segment"])
 
     rows = in_batches(docs.where("NOT held_out").select("text")).mapInArrow(emit, "bucket int, pairs binary, more binary")

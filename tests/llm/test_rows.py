@@ -395,6 +395,13 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, odd_rows, texts, monke
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
 
 
+def test_pairs_learnt_once_count(spark):
+    rows = [(1, "a b", False), (2, "c d", False), (3, "a b", True), (4, "a d", True)]
+    out = {r["doc_id"]: r for r in score_documents(spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")).collect()}
+    assert out[3]["score"] > out[4]["score"] and math.isclose(out[3]["base_score"], out[4]["base_score"])
+    assert math.isclose(out[1]["score"], out[3]["score"])
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
