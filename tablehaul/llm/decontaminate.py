@@ -83,7 +83,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     ``least_share`` of its windows, or ``LEAST_RUN`` of them.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Windows of a document count for an item if they lie in
-    one copy (equal distance of the positions) whose changes are consistent; ``changed`` says that some found window has
+    one copy (equal distance of the positions) whose changes are consistent, each once however often it is repeated; ``changed`` says that some found window has
     other values than the item's own. Items with fewer than ``WINDOW`` words, and windows with fewer than ``LEAST_LITERALS`` words
     that aren't placeholders, are no evidence. Null and empty texts have no window. Rows with the same doc_id count as
     one document, null ids as another one. Other columns are not looked at.
@@ -105,17 +105,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     pair = F.zip_with("item_slots", "doc_slots", lambda a, b: F.struct(a.alias("mine"), b.alias("theirs")))
     same = F.col("item_slots") == F.col("doc_slots")
     copies = once.groupBy("doc_id", "item_id", "shift").agg(
-        F.count("*").alias("n"), F.count(F.when(same, 1)).alias("exact"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")
+        F.collect_list(F.struct("item_at", same.alias("exact"))).alias("windows"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")
     )
     mine = F.array_distinct(F.transform("pairs", lambda p: p.getField("mine")))
     copies = copies.withColumn("consistent", F.size(mine) == F.size("pairs"))
-    counted = F.when(F.col("consistent"), F.col("n")).otherwise(F.col("exact"))
-    leaks = copies.groupBy("doc_id", "item_id").agg(F.sum(counted).alias("n"), F.sum("exact").alias("exact"))
+    counted = F.when(F.col("consistent"), F.col("windows")).otherwise(F.filter("windows", lambda w: w["exact"]))
+    # A window counts once, in however many copies it is.
+    windows = copies.select("doc_id", "item_id", F.explode(counted).alias("w")).groupBy("doc_id", "item_id", "w.item_at").agg(F.max("w.exact").alias("exact"))
+    leaks = windows.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("exact"), 1)).alias("exact"))
     leaks = leaks.join(F.broadcast(sizes) if few else sizes, "item_id")
-    total = F.least("n", "n_windows")
     return leaks.select(
-        "doc_id", "item_id", "n_windows", total.alias("n_found"), F.least("exact", "n_windows").alias("n_exact"),
-        (total / F.col("n_windows")).alias("share"), (F.least("exact", "n_windows") < total).alias("changed"),
+        "doc_id", "item_id", "n_windows", F.col("n").alias("n_found"), F.col("exact").alias("n_exact"),
+        (F.col("n") / F.col("n_windows")).alias("share"), (F.col("exact") < F.col("n")).alias("changed"),
     ).where((F.col("share") >= least_share) | (F.col("n_found") >= LEAST_RUN))
 
 

@@ -441,6 +441,13 @@ def test_changed_questions_are_found(spark, docs):
     assert leaks_of(spark, docs, [], [QUESTION]) == {} and leaks_of(spark, docs, rows, []) == {}
 
 
+def test_a_repeated_window_counts_once(spark, docs):
+    phrase = " ".join(QUESTION.split()[4:13])
+    rows = [(1, " And so on. ".join([phrase] * 20)), (2, f"{QUESTION} Once more: {QUESTION}")]
+    found = leaks_of(spark, docs, rows, [QUESTION])
+    assert set(found) == {(2, 0)} and found[(2, 0)]["n_found"] == found[(2, 0)]["n_windows"]
+
+
 def test_leaks_are_taken_out(spark, docs):
     table = docs([(1, "a"), (2, "b"), (None, "c")])
     leaks = spark.createDataFrame([(1, 0), (1, 1)], "doc_id bigint, item_id bigint")
