@@ -441,6 +441,20 @@ def test_changed_questions_are_found(spark, docs):
     assert leaks_of(spark, docs, [], [QUESTION]) == {} and leaks_of(spark, docs, rows, []) == {}
 
 
+def test_short_dense_and_renamed_items_are_found(spark, docs):
+    filler = "Nothing here has to do with any of it, but it goes on and on for a while."
+    short, dense = "Who wrote the old song?", "Add 3 km, 14 km, 25 km, 7 kg, 31 kg and 12 hours to 9 days"
+    named = "Anna counts the red stones. Anna gives two to a friend of hers. Bob then takes four of all those away."
+    renamed = named.replace("Anna", "Clara").replace("Bob", "David")
+    rows = [
+        (1, f"{filler} {short} {filler}"), (2, f"{filler} {dense}. {filler}"), (3, f"{filler} {renamed}"), (4, filler),
+        (5, "Who wrote that old song?"), (6, dense.replace("14", "15").replace("31", "32").replace("9", "8")), (7, f"So he asked {short}"),
+    ]
+    found = leaks_of(spark, docs, rows, [short, dense, named])
+    assert set(found) == {(1, 0), (7, 0), (2, 1), (3, 2)}
+    assert found[(3, 2)]["changed"] and not found[(2, 1)]["changed"] and found[(1, 0)]["n_windows"] == 1
+
+
 def test_a_repeated_window_counts_once(spark, docs):
     phrase = " ".join(QUESTION.split()[4:13])
     rows = [(1, " And so on. ".join([phrase] * 20)), (2, f"{QUESTION} Once more: {QUESTION}")]
