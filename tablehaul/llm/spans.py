@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.components import join_counted, stored
@@ -71,8 +71,13 @@ def spans(first: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
     return begin, end, out.view(np.int64)
 
 
+def _text_key() -> Column:
+    """A hash of the whole text, to tell rows with the same doc_id apart."""
+    return F.xxhash64("text")
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, begin, end, h1, h2): sentence numbers count within the text."""
+    """(doc_id, key, begin, end, h): sentence numbers count within the text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
@@ -80,12 +85,13 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             begin, end, value = spans(first, at, hashes)
             owner = np.searchsorted(first, begin, side="right") - 1
             columns = [
-                batch.column("doc_id").take(pa.array(owner)), pa.array((begin - first[owner]).astype(np.int32)),
+                batch.column("doc_id").take(pa.array(owner)), batch.column("key").take(pa.array(owner)), pa.array((begin - first[owner]).astype(np.int32)),
                 pa.array((end - first[owner]).astype(np.int32)), pa.array(value[0]), pa.array(value[1]),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "begin", "end", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "begin", "end", "h1", "h2"])
 
-    rows = in_batches(docs.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(find, "doc_id bigint, begin int, end int, h1 bigint, h2 bigint")
+    given = docs.select(F.col("doc_id").cast("bigint"), "text", _text_key().alias("key"))
+    rows = in_batches(given).mapInArrow(find, "doc_id bigint, key bigint, begin int, end int, h1 bigint, h2 bigint")
     return rows.withColumn("h", F.struct("h1", "h2")).drop("h1", "h2")
 
 
@@ -94,18 +100,20 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
 
     Adds ``n_sentences`` and ``n_removed``; the text is unchanged, byte for byte, where nothing is removed. Of equal spans the
     one with the smallest (doc_id, sentence) stays, so a text's own repetitions go too. A null doc_id comes before all
-    others. Rows with the same doc_id count as one document: they don't repeat each other at the same sentence. A null
+    others. Rows with the same doc_id and text count as one document: they don't repeat each other at the same sentence.
+    Rows with the same doc_id and other texts are documents of their own. A null
     text stays null; a text may end up empty. Added columns replace those of ``docs`` with their name.
     """
     found = _occurrences(docs)
-    here = F.struct("doc_id", "begin")
+    here = F.struct("doc_id", "begin", "key")
     repeated = found.groupBy("h").agg(F.min(here).alias("head"), F.count("*").alias("times")).where("times > 1")
     repeated = stored(repeated, "repeated-spans")
     total = repeated.agg(F.sum("times")).first()[0] or 0
     again = join_counted(found, repeated, "h", "times", total).where(~here.eqNullSafe(F.col("head")))
-    covered = again.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("_covered"))
-    covered = covered.withColumnRenamed("doc_id", "_id")
-    joined = docs.drop("_covered").join(covered, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    covered = again.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("_covered"))
+    covered = covered.select(F.col("doc_id").alias("_covered_id"), F.col("key").alias("_covered_key"), "_covered")
+    docs = docs.drop("_covered", "_covered_id", "_covered_key")
+    joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_covered_id")) & (_text_key() == F.col("_covered_key")), "left").drop("_covered_id", "_covered_key")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
@@ -129,4 +137,4 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
             result = batch_with(batch, added)
             yield result.select([x for x in result.schema.names if x != "_covered"])
 
-    return in_batches(joined).mapInArrow(cut, schema_with(docs.drop("_covered"), "text string, n_sentences bigint, n_removed bigint"))
+    return in_batches(joined).mapInArrow(cut, schema_with(docs, "text string, n_sentences bigint, n_removed bigint"))

@@ -213,3 +213,11 @@ def test_long_passage_goes_from_all_but_the_first(docs):
     out = {r["doc_id"]: r["text"] for r in remove_repeated_spans(docs(rows)).collect()}
     assert out[0] == rows[0][1]
     assert all(out[i] == f"Own start {i} of it all. Own end {i}." for i in range(1, 40))
+
+
+def test_rows_with_one_id_lose_only_their_own_repeats(docs):
+    passage = "Here is a passage that is told again in some of the texts. It has two sentences and well over twenty words in all."
+    clean = "A first one. A second one. A third one. A fourth one. A fifth one."
+    rows = [(None, f"An own start. Another one. {passage}"), (None, f"One more. {passage}"), (None, clean), (7, f"{passage} So."), (7, f"{passage} Then.")]
+    out = sorted(r["text"] for r in remove_repeated_spans(docs(rows)).collect())
+    assert clean in out and len(out) == 5 and sum(passage in t for t in out) == 1 and sum(t in ("So.", "Then.") for t in out) == 2
