@@ -1,0 +1,111 @@
+"""Hard negatives against brute force in whole numbers of any size: scores, ties, windows, odd rows, hot labels."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+import tablehaul.llm.negatives as negatives
+from tablehaul.llm.negatives import Window5, best_of_each, centred, mine_hard_negatives, primes_for, products
+
+SCHEMA = "vec_id bigint, label int, vector array<double>, anchor boolean, uid string, block int, score double"
+
+
+def table(spark, rows, partitions=3):
+    return spark.createDataFrame([(*r, "x", 1, 0.5) for r in rows], SCHEMA).repartition(partitions)
+
+
+def by_force(rows, rules=Window5(), scale=256):
+    clean = []
+    for vec_id, label, vector, anchor in rows:
+        if vec_id is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        clean.append((vec_id, label, [math.floor(scale * x) for x in vector], bool(anchor)))
+    out = []
+    for i, a in enumerate(clean):
+        if not a[3]:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a[2], b[2])), b[0], b[1]) for k, b in enumerate(clean) if k != i)
+        for minus, positive, _ in [s for s in scored if s[2] == a[1]][: rules.positives]:
+            fits = [s for s in scored if s[2] != a[1] and rules.low * -minus <= 100 * -s[0] <= rules.high * -minus]
+            out += [(a[0], positive, n + 1, s[1], -minus, -s[0]) for n, s in enumerate(fits[: rules.negatives])]
+    return sorted(out)
+
+
+def mined(spark, rows, **more):
+    got = sorted(tuple(r) for r in mine_hard_negatives(table(spark, rows), **more).collect())
+    return got
+
+
+def random_rows(seed, n=90, width=6, labels=3, size=1.0):
+    rnd = random.Random(seed)
+    return [(i, rnd.randrange(labels), [rnd.uniform(-0.2, 1) * size for _ in range(width)], i % 10 == 0) for i in range(n)]
+
+
+@pytest.mark.parametrize("width, size", [(1, 3), (64, 300), (700, 2**20), (1500, 5)])
+def test_products_are_exact(width, size):
+    rnd = np.random.default_rng(width)
+    a, b = rnd.integers(-size, size + 1, (7, width)), rnd.integers(-size, size + 1, (5, width))
+    a[0], b[0], b[1] = size, size, -size  # the bounds themselves
+    primes = primes_for(width, width * size * size)
+    got = products([centred(a.astype(float), p) for p in primes], [centred(b.astype(float), p) for p in primes], primes)
+    assert got.tolist() == (a.astype(object) @ b.astype(object).T).tolist()
+    assert all(all(p % q for q in range(2, p)) for p in primes) and len(set(primes)) == len(primes)
+
+
+def test_best_of_each_keeps_ties_in_order():
+    scores = np.array([[5, 9, 9, 1, 9], [3, 3, 3, 3, 3], [1, 2, 3, 4, 5]])
+    allowed = np.array([[1, 1, 1, 1, 1], [0, 1, 0, 1, 1], [0, 0, 0, 0, 0]], bool)
+    row, column = best_of_each(scores, allowed, 2)
+    assert list(zip(row.tolist(), column.tolist())) == [(0, 1), (0, 2), (1, 1), (1, 3)]
+
+
+@pytest.mark.parametrize("slice_rows, block_rows, at_once", [(8192, 2048, 1 << 21), (7, 2, 10)])
+def test_random_vectors(spark, monkeypatch, slice_rows, block_rows, at_once):
+    for name, value in (("SLICE_ROWS", slice_rows), ("BLOCK_ROWS", block_rows), ("SCORES_AT_ONCE", at_once)):
+        monkeypatch.setattr(negatives, name, value)
+    rows = random_rows(1)
+    assert mined(spark, rows) == by_force(rows) != []
+
+
+def test_other_rules(spark):
+    rows, rules = random_rows(2, size=40.0), Window5(positives=2, negatives=7, low=10, high=95)
+    assert mined(spark, rows, rules=rules, scale=4.0) == by_force(rows, rules, 4)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = random_rows(3, n=40) + [
+        (100, None, [1.0], True), (None, 1, [1.0], True), (102, 1, None, True), (103, 1, [nan], True), (104, 1, [inf, 1.0], False),
+        (105, 1, [None, 1.0], False), (106, 2, [], True), (107, 2, [0.5], True), (108, 1, [0.9] * 9, None), (109, 0, [-0.0] * 6, True),
+    ]
+    assert mined(spark, rows) == by_force(rows)
+
+
+def test_equal_vectors_and_a_hot_label(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "SLICE_ROWS", 50)
+    rows = [(i, 0 if i % 3 else 1, [0.5, 0.25], i % 40 == 0) for i in range(200)] + random_rows(4, n=60, width=2)
+    rows = [(1000 + i, *r[1:]) for i, r in enumerate(rows)]
+    assert mined(spark, rows) == by_force(rows)
+
+
+def test_repeated_rows(spark):
+    rows = random_rows(5, n=30) * 2
+    assert mined(spark, rows) == by_force(rows)
+
+
+def test_nothing_to_do(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, 1, [1.0], False)]) == []
+    assert mined(spark, [(1, 1, [1.0], True)]) == []
+    assert mined(spark, [(1, 1, [], True), (2, 1, [], False), (3, 2, [], False)]) == by_force([(1, 1, [], True), (2, 1, [], False), (3, 2, [], False)])
+
+
+def test_scores_beyond_bigint_are_refused(spark):
+    with pytest.raises(ValueError, match="scores"):
+        mined(spark, [(1, 1, [1e300], True), (2, 1, [1.0], False)])
+    large = [(i, i % 2, [float(2**18 + i), -5.0], i == 0) for i in range(8)]
+    assert mined(spark, large) == by_force(large) != []
