@@ -11,16 +11,6 @@ def column_list(df: DataFrame) -> str:
     return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in df.schema)
 
 
-def expand_columns(shorthand: str, default: str = "string", types: str = "") -> str:
-    """Expand ``"a b:i"`` with ``types="i:bigint"`` to ``"a string, b bigint"``.
-
-    A code missing from ``types`` means the default type.
-    """
-    by_code = dict(entry.split(":", 1) for entry in types.split())
-    named = (entry.partition(":") for entry in shorthand.split())
-    return ", ".join(f"{name} {by_code.get(code, default)}" for name, _, code in named)
-
-
 def the_column(lines: DataFrame) -> Column:
     """The one column of a DataFrame of lines."""
     if len(lines.columns) != 1:

@@ -8,15 +8,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablehaul.operators.aggregate import LOW_BITS, joined_halves
 from tablehaul.sources.scratch import scratch_path
 
 _PLACE = "_part int, _fragment long, _edge boolean, _high long, _low long, rows long, _numbers long"
-#: Sums are kept in two halves: the numbers' upper bits, and their lower bits so many.
-LOW_BITS = 32
 
 
 def run_sum(
@@ -35,35 +34,29 @@ def run_sum(
     Data is cut by ranges of the order itself, so neither one huge partition value nor a global order ends
     up in one task. Each range yields fragments of runs; only the first and last fragment of a range can
     continue in a neighbour, and these (two per range at most) are stitched together. Rows that tie in all of it are
-    spread over ranges too. Sums are exact; one that does not fit a bigint fails the job. The fragments are
-    written to ``scratch`` once, as both steps read them and must see the same ranges.
+    spread over ranges too. Sums are exact; one that does not fit a bigint fails the job. The rows are
+    computed once and written, as a sample of them sets the ranges; the fragments are written to ``scratch``, as both
+    steps read them and must see the same ranges.
     """
     spark = df.sparkSession
     group, order = [*partition_by, key], [o for o in order_by if o not in (*partition_by, key)]
     ranges = list(dict.fromkeys([*partition_by, *order_by, key]))
     rows = df.select(*group, *order, F.col(value).cast("bigint").alias("_value"))
     spread = rows.withColumn("_tie", F.monotonically_increasing_id())
-    placed = spread.repartitionByRange(*ranges, "_tie").drop("_tie").sortWithinPartitions(*ranges)
+    written = scratch_path(spark, "run-rows")
+    spread.write.parquet(written)
+    known = spark.read.schema(spread.schema).parquet(written)
+    placed = known.repartitionByRange(*ranges, "_tie").drop("_tie").sortWithinPartitions(*ranges)
     schema = T.StructType([*df.select(*group, *order).schema, *T.StructType.fromDDL(_PLACE)])
     path = scratch or scratch_path(spark, "runs")
     placed.mapInArrow(_fragments(len(group)), schema).write.mode("overwrite").parquet(path)
 
     fragments = spark.read.schema(schema).parquet(path)
-    result = [*group, *order, F.when(F.col("_numbers") > 0, _joined_halves()).alias("total"), "rows"]
+    result = [*group, *order, F.when(F.col("_numbers") > 0, joined_halves(F.col("_high"), F.col("_low"), "the sum of a run")).alias("total"), "rows"]
     inner = fragments.where(~F.col("_edge"))
     return inner.select(*result).unionAll(_stitched(fragments.where("_edge"), group, order).select(*result))
 
 
-def _joined_halves() -> Column:
-    """The sum that two halves stand for."""
-    high = F.col("_high") + F.shiftright("_low", LOW_BITS)
-    fits = high.between(-(1 << 31), (1 << 31) - 1)
-    low = F.col("_low").bitwiseAND(F.lit((1 << LOW_BITS) - 1))
-    return F.when(fits, F.shiftleft(high, LOW_BITS).bitwiseOR(low)).otherwise(
-        F.raise_error(F.lit("the sum of a run does not fit a bigint")).cast("bigint")
-    )
-
-
 def _stitched(edges: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     # One window over all edges: at most two rows per range, a number set by the partition count, not the data.
     line = Window.orderBy("_part", "_fragment")

@@ -17,15 +17,16 @@ from tablehaul.functions.columns import column_list
 from tablehaul.functions.text import line_record, tokenize
 from tablehaul.operators.aggregate import reduce_by_key
 from tablehaul.operators.aggregate import word_count as count_words
-from tablehaul.operators.extract import extract
+from tablehaul.operators.extract import extract, result_columns
 from tablehaul.operators.runs import run_sum
+from tablehaul.operators.stats import table_properties as properties_of
 from tablehaul.operators.stats import table_stats as stats_of
 from tablehaul.plans.script import run_script
 from tablehaul.plans.script import sql as sql_lines
 from tablehaul.sources.csv import extract_csv
 from tablehaul.sources.delimited import dump, format_lines, parse_lines, read_delimited
 from tablehaul.sources.formats import result_lines, to_long_form
-from tablehaul.sources.lines import positioned_lines, read_lines, write_lines
+from tablehaul.sources.lines import numbered_lines, positioned_lines, read_lines, write_lines
 from tablehaul.sources.scratch import scratch_path
 from tablehaul.sources.tables import load_partition, load_table
 from tablehaul.streaming.mapreduce import map_reduce, named
@@ -281,6 +282,65 @@ def table_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats_of(table(spark, folder, "orders")).drop("file_count", "byte_count")
 
 
+@registered("""
+    SELECT 'value' AS column_name, count(*) AS row_count, 3::BIGINT AS file_count,
+        CAST(sum(strlen(line) + 1) AS BIGINT) AS byte_count, 0::BIGINT AS null_count, min(line) AS min_value, max(line) AS max_value
+    FROM (SELECT o_orderkey || chr(9) || o_orderpriority AS line FROM orders)
+""")
+def table_stats_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files and bytes too, of a dataset of three files written before."""
+    path = scratch_path(spark, "three-files")
+    lines = format_lines(table(spark, folder, "orders").select("o_orderkey", "o_orderpriority"))
+    write_lines(lines.repartition(3), path)
+    return stats_of(spark.read.text(path))
+
+
+@registered("""
+    SELECT 'rows' AS name, count(*)::VARCHAR AS text, count(*) AS number FROM supplier
+    UNION ALL SELECT 'largest', max(s_suppkey)::VARCHAR, max(s_suppkey) FROM supplier
+    UNION ALL SELECT 'first name', min(s_name), NULL FROM supplier
+    UNION ALL SELECT 'location', 'set', NULL
+""")
+def table_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Properties that a load noted on its table; where it lies depends on the session."""
+    name, place = "tablehaul_noted", scratch_path(spark, "noted-table")
+    suppliers = table(spark, folder, "supplier")
+    noted = suppliers.agg(F.count("*"), F.max("s_suppkey"), F.min("s_name")).first()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    suppliers.write.option("path", place).saveAsTable(name)
+    texts = ", ".join(f"'{k}' = '{v}'" for k, v in zip(("rows", "largest", "first name"), noted, strict=True))
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({texts})")
+    found = properties_of(spark, name)
+    is_place = (F.col("name") == "location") & F.contains("text", F.lit(place))
+    return found.where(F.col("name").isin("rows", "largest", "first name", "location")).withColumn("text", F.when(is_place, "set").otherwise(F.col("text")))
+
+
+@registered("""
+    SELECT unnest(['o_orderkey', 'customer', 'lines', 'last_line']) AS name, unnest([0, 1, 2, 3]::BIGINT[]) AS place,
+        (SELECT count(*) FROM orders) AS rows
+""")
+def schema_probe(spark: SparkSession, folder: str) -> DataFrame:
+    """Column names of a query that isn't run, beside the number of rows that it would read."""
+    table(spark, folder, "orders").createOrReplaceTempView("tablehaul_probed")
+    names = result_columns(spark, """
+        SELECT o.o_orderkey, o.o_custkey AS customer, count(*) OVER (PARTITION BY o.o_custkey) AS lines, 'limit 1' AS last_line
+        FROM tablehaul_probed o LIMIT 10
+    """)
+    rows = spark.table("tablehaul_probed").agg(F.count("*").alias("rows"))
+    return rows.select(F.posexplode(F.array(*map(F.lit, names))).alias("place", "name"), "rows").withColumn("place", F.col("place").cast("bigint"))
+
+
+@registered("SELECT p_partkey, p_name, p_size FROM part")
+def load_quoted_names(spark: SparkSession, folder: str) -> DataFrame:
+    """A table whose name needs quotes, loaded twice: the second load points it to its new rows."""
+    path, name = scratch_path(spark, "quoted-text"), "default.`2_tablehaul_parts`"
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
+    for rows in (parts.where("p_partkey % 2 = 0"), parts):
+        dump(spark, rows, path)
+        load_table(spark, path, name, column_list(parts))
+    return spark.table(name)
+
+
 # --- lines ----------------------------------------------------------------------------------------
 
 
@@ -323,17 +383,6 @@ def append_keeps_order(spark: SparkSession, folder: str) -> DataFrame:
     return numbered_lines(spark, path)
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their number in file order: rows before the file, counted, and the place in it."""
-    lines = positioned_lines(spark, path)
-    here = ["file", "block"]
-    sizes = lines.groupBy(*here).agg(F.count("*").alias("n"))  # a row for each file block
-    before = F.sum("n").over(Window.orderBy(*here)) - F.col("n")
-    placed = lines.join(sizes.select(*here, before.alias("before")), here)
-    number = F.col("before") + F.row_number().over(Window.partitionBy(*here).orderBy("row"))
-    return placed.select(number.cast("bigint").alias("number"), "value")
-
-
 @registered("""
     SELECT concat(c_custkey, chr(9), c_name) AS value FROM customer
     UNION ALL SELECT concat(s_suppkey, chr(9), s_name) FROM supplier
@@ -525,6 +574,24 @@ def script_with_cleanup(spark: SparkSession, folder: str) -> DataFrame:
     return run_script(spark, script, {"name": "tablehaul_regions", "place": place, "folder": folder})
 
 
+@registered("""
+    SELECT o_orderstatus, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders
+    WHERE o_totalprice > 100000 GROUP BY o_orderstatus
+""")
+def script_with_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the last query between and before inserts that begin like queries."""
+    script = """
+        DROP TABLE IF EXISTS {name};
+        CREATE TABLE {name} (status STRING, customer BIGINT) USING parquet LOCATION '{place}';
+        WITH dear AS (SELECT * FROM parquet.`{folder}/orders.parquet` WHERE o_totalprice > :least)
+            INSERT INTO {name} SELECT o_orderstatus, o_custkey FROM dear;
+        SELECT status AS o_orderstatus, count(*) AS orders, sum(customer) AS customers FROM {name} GROUP BY status;
+        FROM {name} INSERT INTO {name} SELECT 'late', 1;
+        WITH none AS (SELECT 'later' AS s) INSERT INTO {name} SELECT s, 2 FROM none;
+    """
+    return run_script(spark, script, {"name": "tablehaul_inserts", "place": scratch_path(spark, "inserts"), "folder": folder}, {"least": 100000})
+
+
 @registered("""
     SELECT '<resultset>' AS value UNION ALL SELECT '</resultset>'
     UNION ALL SELECT concat('<result><doc_id>', doc_id, '</doc_id><text>',
@@ -718,6 +785,23 @@ def map_reduce_named(spark: SparkSession, folder: str) -> DataFrame:
     return map_reduce(spark, lines, reducer=named("sum"))
 
 
+@registered("""
+    SELECT o_orderpriority AS priority, CAST(sum(CAST(o_orderkey AS HUGEINT) * (CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END)) AS BIGINT) AS total,
+        CAST(sum(o_orderkey * (CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END)) AS BIGINT) AS named_total
+    FROM orders GROUP BY o_orderpriority
+""")
+def sum_wide_partials(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums that fit a bigint of numbers near its bounds: what is added up before the shuffle does not fit."""
+    # Each order has 2**62 and its own number; a second line in another partition takes the 2**62 away again.
+    orders = table(spark, folder, "orders").selectExpr("o_orderpriority", "o_orderkey * if(o_orderkey % 2 = 0, 1, -1) AS k")
+    large = F.lit(1 << 62)
+    halves = [orders.select("o_orderpriority", n.alias("n")).repartition(2) for n in (F.col("k") + large, -large)]
+    lines = format_lines(halves[0].unionAll(halves[1]))
+    by_stage = _key_value(map_reduce(spark, lines, reducer=sum_adjacent), "priority", "total")
+    by_name = _key_value(map_reduce(spark, lines, reducer=named("sum")), "priority", "named_total")
+    return by_stage.join(by_name, "priority")
+
+
 @registered("""
     SELECT l_returnflag, CAST(sum(l_partkey) AS BIGINT) AS sum, min(l_partkey) AS min, max(l_partkey) AS max,
         count(l_partkey) AS count

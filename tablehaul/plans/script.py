@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +20,8 @@ _PIECE = re.compile(
     r"""(?<!\w)[rR]'[^']*'|(?<!\w)[rR]"[^"]*"|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*|;""", re.DOTALL
 )
 _COMMENT_EDGE = re.compile(r"/\*|\*/")
-# How statements begin whose rows are a result.
-_QUERY = ("select", "with", "from", "values", "table", "map", "reduce")
+# Kinds of plans that do something instead of giving the rows of a query.
+_ACTS = tuple(f"org.apache.spark.sql.catalyst.plans.logical.{name}" for name in ("Command", "InsertIntoStatement", "CompoundBody"))
 
 
 def render(text: str, variables: Mapping[str, object] | None = None) -> str:
@@ -75,12 +78,20 @@ def _comment_end(script: str, at: int) -> int:
     return at
 
 
-def _first_word(statement: str) -> str:
-    bare = re.sub(r"--[^\n]*", " ", statement)
-    while match := _COMMENT_EDGE.search(bare):
-        bare = bare[: match.start()] + " " + bare[_comment_end(bare, match.end()) :]
-    word = re.match(r"[\s(]*(\w+)", bare)
-    return word[1].lower() if word else ""
+def is_query(spark: SparkSession, statement: str) -> bool:
+    """Whether a statement only gives rows, by Spark's own parser: no command and no insert, whatever words it begins with."""
+    try:
+        plans = [spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)]
+    except (ParseException, Py4JJavaError):
+        return False  # it fails with Spark's message when its turn comes
+    gateway = spark.sparkContext._gateway
+    while plans:
+        plan = plans.pop()
+        if any(is_instance_of(gateway, plan, kind) for kind in _ACTS):
+            return False
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return True
 
 
 def run_script(
@@ -95,7 +106,7 @@ def run_script(
     written to the shared folder before them. Without a query the last statement's rows are the result.
     """
     parts = statements(render(script, variables))
-    queries = [i for i, part in enumerate(parts) if _first_word(part) in _QUERY]
+    queries = [i for i, part in enumerate(parts) if is_query(spark, part)]
     wanted = queries[-1] if queries else len(parts) - 1
     result = None
     for i, statement in enumerate(parts):

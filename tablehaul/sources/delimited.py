@@ -2,7 +2,6 @@ r"""Typed rows from delimited text and back."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablehaul.functions.columns import the_column
 from tablehaul.functions.delimited import Separators, conflicts, format_row, parse_steps, split_row
-from tablehaul.sources.lines import has_files, headed, read_lines, write_lines
+from tablehaul.sources.lines import first_file, has_files, headed, read_lines, write_lines
 
 
 def read_delimited(
@@ -113,21 +112,14 @@ def dump(
 
 def _without_dataset_header(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     lines = read_lines(spark, path)
-    files = lines.inputFiles()
-    if not files:
+    first = first_file(lines)
+    if first is None:
         return lines
     # Both sides filter on the file alone, so each reads only its own files.
-    first = re.sub("^file:/+", "file:/", min(files, key=_file_order))  # the scan spells local paths with one slash
     in_first = F.col("_metadata.file_path") == F.lit(first)
     return lines.where(~in_first).unionAll(_without_first_lines(lines.where(in_first)))
 
 
-def _file_order(file: str) -> tuple:
-    folder, _, name = file.rpartition("/")
-    part = re.match("part-([0-9]+)", name)
-    return (folder, 0, int(part[1]), name) if part else (folder, 1, 0, name)
-
-
 def _without_first_lines(lines: DataFrame) -> DataFrame:
     """Leave out the first line of each file in one pass, without a join or a second scan.
 

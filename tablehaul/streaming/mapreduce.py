@@ -39,8 +39,8 @@ def map_reduce(
 
     ``combiner`` folds the lines of each map partition before the shuffle (``True``: with the reducer); it sees
     the lines of a key one after another, but keys in no set order. With one, a key that holds much of the data
-    reaches its reducer as one line per map partition; without one, all lines of a key stream through one task.
-    A combiner without a reducer and without ``reduce_tasks`` is the last step. ``reduce_tasks=0`` stops after the map; a number without a reducer sorts the lines by key. ``output``
+    reaches its reducer as one line per map partition. A reducer marked ``associative`` is its own combiner if none is
+    given, unless ``combiner=False``. Without any, all lines of a key stream through one task. A combiner without a reducer and without ``reduce_tasks`` is the last step. ``reduce_tasks=0`` stops after the map; a number without a reducer sorts the lines by key. ``output``
     overwrites a dataset with the result, which is then read back from there.
     """
     if isinstance(input, DataFrame):
@@ -58,6 +58,8 @@ def map_reduce(
         raise ValueError("a named reducer combines by itself; it takes no combiner")
     if reduce_tasks == 0 and combiner not in (None, False):
         raise ValueError("without a reduce step (reduce_tasks=0) no combiner runs")
+    if combiner is None and getattr(reducer, "associative", False):
+        combiner = True
     combiner = combiner or None
     if reduce_tasks != 0 and (reducer is not None or combiner is not None or reduce_tasks):
         lines = _reduced(lines, reducer, reducer if combiner is True else combiner, reduce_tasks)

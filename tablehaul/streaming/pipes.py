@@ -47,6 +47,15 @@ def batched(fn: Callable) -> Callable:
     return fn
 
 
+def associative(fn: Callable) -> Callable:
+    """Mark a reducer whose output lines of a key may be reduced again with more lines of the key.
+
+    A job then runs it before the shuffle too, so that a hot key reaches one task as a line for each map partition.
+    """
+    fn.associative = True
+    return fn
+
+
 def run_stage(lines: DataFrame, stage: Stage) -> DataFrame:
     """Run a command, or a callable from an iterator of lines to lines, over each partition."""
     if isinstance(stage, str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tablehaul import (
-    column_list, expand_columns, extract, load_partition, load_table, render, resolve_variables, result_columns,
+    column_list, extract, load_partition, load_table, render, resolve_variables, result_columns,
     run_script, sql, table_properties, table_stats,
 )
 from tablehaul.plans.script import statements
@@ -86,10 +86,6 @@ def test_result_columns_run_no_job(spark):
 
 
 def test_column_text(spark):
-    assert expand_columns("a b c d:i e:i f:ai", "string", "i:bigint ai:array<int>") == (
-        "a string, b string, c string, d bigint, e bigint, f array<int>"
-    )
-    assert expand_columns("a:zz") == "a string"
     assert column_list(spark.sql("select 1 a, array('x') b")) == "a int, b array<string>"
 
 
