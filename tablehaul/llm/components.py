@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.sources.scratch import scratch_path
@@ -21,8 +21,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined with the one row that ``keyed`` has for a key; its column ``count`` says how many rows have the key.
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str | list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row that ``keyed`` has for a key, of one or several columns; its column ``count`` says how many rows have the key.
 
     Rows of hot keys, at most ``HOT_PART`` keys, meet a broadcast table and aren't shuffled; all others are joined as
     usual. ``how`` is inner or left; for left, keys of ``rows`` that ``keyed`` lacks must be rare.
@@ -34,11 +34,24 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total:
     return with_hot.unionByName(others.join(keyed.where(~hot), key, how))
 
 
-def rows_by_id(docs: DataFrame, ids: DataFrame, inside: bool) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``ids`` (doc_id), or is not; a null id only equals a null id."""
-    ids = ids.select(F.col("doc_id").alias("_wanted")).distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi" if inside else "left_anti")
+def text_key(text: str = "text") -> Column:
+    """A hash of a whole text, that of the empty one for null: tells rows with the same doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def rows_by_key(docs: DataFrame, keys: DataFrame, inside: bool) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text are among ``keys`` (doc_id, text_key), or are not.
+
+    A null id only equals a null id. Rows that only share their doc_id with one of ``keys`` are not among them.
+    """
+    keys = keys.select(F.col("doc_id").alias(_WANTED[0]), F.col("text_key").alias(_WANTED[1])).distinct()
+    few = keys.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    same = F.col("doc_id").eqNullSafe(F.col(_WANTED[0])) & (text_key() == F.col(_WANTED[1]))
+    return docs.join(F.broadcast(keys) if few else keys, same, "left_semi" if inside else "left_anti")
+
+
+# Names that no column of a table has.
+_WANTED = ("wanted id of rows_by_key", "wanted text of rows_by_key")
 
 
 def connected(edges: DataFrame) -> DataFrame:

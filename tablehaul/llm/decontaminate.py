@@ -3,7 +3,7 @@
 Numbers, names and units of a text become typed placeholders that keep their value beside them. Windows of the template
 are hash-joined with those of the benchmark, so a question with other numbers or names still matches. Where the
 placeholders' values differ, the change must be consistent: within one copy each value of the benchmark's always
-stands for the same value of the document's.
+stands for the same value of the document's, and no two for the same one.
 
 There are three kinds of windows. In those of ``PLAIN`` a name is one by the words before it. In those of ``CAPITAL`` every
 capitalised word is a name, so that names at a sentence's start may differ too. Those of ``EXACT`` have no placeholders:
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.components import rows_by_id, stored
+from tablehaul.llm.components import rows_by_key, stored, text_key
 
 #: Words in a window, and how many of them must be no placeholders.
 WINDOW = 8
@@ -130,15 +130,16 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_found, n_exact, share, changed) of documents with a benchmark item in them: at least
+    """(doc_id, text_key, item_id, n_windows, n_found, n_exact, share, changed) of documents with a benchmark item in them: at least
     ``least_share`` of its windows, or ``LEAST_RUN`` of them.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Windows of a document count for an item if they lie in
     one copy (equal distance of the positions) whose changes are consistent, each once however often it is
     repeated; ``changed`` says that some found window has other values than the item's own. Each kind of windows is judged by itself, and the numbers are those of the kind with the
     greatest share. Windows with fewer than ``LEAST_LITERALS`` words that aren't placeholders count in exact copies only; so
-    do items with fewer than ``WINDOW`` words, whose one window is the whole item. Null and empty texts have no window. Rows with
-    the same doc_id count as one document, null ids as another one. Other columns are not looked at.
+    do items with fewer than ``WINDOW`` words, whose one window is the whole item. Null and empty texts have no window. Very long
+    texts are looked at whole. Rows with the same doc_id and text count as one document; ``text_key``, a hash of the text, tells
+    others with the same or no doc_id apart. Other columns are not looked at. Without documents or items there are no rows.
     """
     items = stored(_item_windows(benchmark), "item-windows")
     sizes = items.groupBy("item_id", "kind").agg(F.count("*").alias("n_windows"))
@@ -147,33 +148,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST
     index = items.drop("size")
     index = F.broadcast(index) if few else index
 
-    found = _windows(template_words(docs.select("doc_id", "text")), exact)
+    found = _windows(template_words(docs.select("doc_id", text_key().alias("text_key"), "text")), exact)
     names = ["plain8", "capital8"] + [f"exact{n}" for n in reversed(exact)]
     # Windows of 8 words of each kind come first: their places follow from the length of one kind.
-    found = found.select("doc_id", "slots", F.size("plain8").alias("n"), F.posexplode_outer(F.concat(*names)).alias("place", "hash")).join(index, "hash")
+    found = found.select("doc_id", "text_key", "slots", F.size("plain8").alias("n"), F.posexplode_outer(F.concat(*names)).alias("place", "hash")).join(index, "hash")
     at = F.when(F.col("kind") == EXACT, F.col("place")).otherwise(F.col("place") - (F.col("kind") - 1) * F.col("n"))
     found = found.withColumn("at", at)
-    item = ["doc_id", "item_id", "kind"]
+    item = ["doc_id", "text_key", "item_id", "kind"]
     found = found.select(*item, "item_at", (F.col("at") - F.col("item_at")).alias("shift"), "item_slots", _own_slots("slots", "at", "kind").alias("doc_slots"))
-    # Rows with the same doc_id may repeat a window: the first of each place stands for all.
+    # Repeated rows repeat a window: the first of each place stands for all.
     once = found.groupBy(*item, "shift", "item_at").agg(F.min("item_slots").alias("item_slots"), F.min("doc_slots").alias("doc_slots"))
     pair = F.zip_with("item_slots", "doc_slots", lambda a, b: F.struct(a.alias("mine"), b.alias("theirs")))
     same = F.col("item_slots") == F.col("doc_slots")
     copies = once.groupBy(*item, "shift").agg(
         F.collect_list(F.struct("item_at", same.alias("exact"))).alias("windows"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")
     )
-    mine = F.array_distinct(F.transform("pairs", lambda p: p.getField("mine")))
-    copies = copies.withColumn("consistent", F.size(mine) == F.size("pairs"))
+    # One to one: no value of the item's stands for two of the document's, nor two for one.
+    mine, theirs = (F.array_distinct(F.col(f"pairs.{side}")) for side in ("mine", "theirs"))
+    copies = copies.withColumn("consistent", (F.size(mine) == F.size("pairs")) & (F.size(theirs) == F.size("pairs")))
     counted = F.when(F.col("consistent"), F.col("windows")).otherwise(F.filter("windows", lambda w: w["exact"]))
     # A window counts once, in however many copies it is.
     windows = copies.select(*item, F.explode(counted).alias("w")).groupBy(*item, "w.item_at").agg(F.max("w.exact").alias("exact"))
     leaks = windows.groupBy(*item).agg(F.count("*").alias("n_found"), F.count(F.when(F.col("exact"), 1)).alias("n_exact"))
     leaks = leaks.join(F.broadcast(sizes) if few else sizes, ["item_id", "kind"]).withColumn("share", F.col("n_found") / F.col("n_windows"))
     leaks = leaks.where((F.col("share") >= least_share) | (F.col("n_found") >= LEAST_RUN))
-    best = leaks.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_windows", "n_found", "n_exact", "share"), F.struct("share", -F.col("kind"))).alias("best"))
-    return best.select("doc_id", "item_id", "best.*", (F.col("best.n_exact") < F.col("best.n_found")).alias("changed"))
+    best = leaks.groupBy("doc_id", "text_key", "item_id").agg(F.max_by(F.struct("n_windows", "n_found", "n_exact", "share"), F.struct("share", -F.col("kind"))).alias("best"))
+    return best.select("doc_id", "text_key", "item_id", "best.*", (F.col("best.n_exact") < F.col("best.n_found")).alias("changed"))
 
 
 def remove_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no leak, with all their columns; a null id only matches a null id."""
-    return rows_by_id(docs, leaks, inside=False)
+    """The rows of ``docs`` without a leak of their own, with all their columns.
+
+    Rows that share a doc_id, or have none, with a row that leaks stay if their own text doesn't leak.
+    """
+    return rows_by_key(docs, leaks, inside=False)

@@ -16,15 +16,25 @@ _ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 def in_batches(df: DataFrame) -> DataFrame:
     """``df`` itself, for Arrow functions; lowers the session's bound of a batch to ``ARROW_BYTES`` if it is larger.
 
-    The session's other bound counts rows, and ten thousand long texts are far too many.
+    The session's other bound counts rows, and ten thousand long texts are far too many. Results are lazy, so the bound must
+    stay as it is until they are computed; the session keeps it.
     """
     conf = df.sparkSession.conf
-    now = int(conf.get(_ARROW_SETTING).lower().rstrip("b"))
+    # Spark reads sizes with units, such as 16m.
+    now = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(_ARROW_SETTING))
     if not 0 < now <= ARROW_BYTES:
         conf.set(_ARROW_SETTING, f"{ARROW_BYTES}b")
     return df
 
 
+def free_prefix(df: DataFrame) -> str:
+    """How no column's name begins: for columns that an operator adds and drops again."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def schema_with(docs: DataFrame, added: str) -> T.StructType:
     """The columns of ``docs`` and then the added ones; an added column takes the place of one with its name."""
     new = T._parse_datatype_string(added)

@@ -22,7 +22,7 @@ from tablehaul.llm.textarrays import byte_slices, crc32_mod, flat, mixed, sums
 SIZES = (2, 3, 4)
 #: Labelled texts that the filters are fitted to.
 SAMPLE_ROWS = 20_000
-#: n-grams kept for each language and size.
+#: n-grams kept for each language and size: the most frequent ones of the sample.
 KEPT = 800
 SLOTS = 1 << 16
 PROBES = 2
@@ -102,10 +102,11 @@ def _slots(codes: np.ndarray) -> Iterator[np.ndarray]:
         yield ((value >> np.uint64(20 * k)) % np.uint64(SLOTS)).astype(np.int64)
 
 
-def fit_language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Filters:
+def fit_language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, kept: int = KEPT) -> Filters:
     """Filters from about ``sample_rows`` rows of ``docs`` (doc_id, text, lang) that have a language.
 
-    Rows are picked by a hash of doc_id; a null doc_id is hashed like any other value. An n-gram counts for a language
+    ``kept`` is the number of n-grams of each size that a language keeps, the most frequent of the sample; it bounds what the
+    filters weigh, about 3 * ``kept`` numbers for each language. Rows are picked by a hash of doc_id; a null doc_id is hashed like any other value. An n-gram counts for a language
     once for each text that has it. Without a labelled row there is no language, and every text is ``und``.
     """
     labelled = docs.where("lang IS NOT NULL").select("doc_id", "text", "lang")
@@ -125,9 +126,9 @@ def fit_language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Filters:
     grams = in_batches(chosen).mapInArrow(count, "lang string, size int, gram bigint, n bigint").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     # A language has a few thousand n-grams of a size in the bounded sample; only the most frequent come back.
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram"))
-    kept = grams.withColumn("place", place).where(F.col("place") <= KEPT).select("lang", "gram").collect()
+    telling = grams.withColumn("place", place).where(F.col("place") <= kept).select("lang", "gram").collect()
     rows = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    return Filters.build([(r["lang"], r["gram"]) for r in kept], rows)
+    return Filters.build([(r["lang"], r["gram"]) for r in telling], rows)
 
 
 def identify_language(docs: DataFrame, filters: Filters) -> DataFrame:

@@ -210,7 +210,8 @@ def pack_documents(
     """
     groups = max(1, -(-docs.count() // group_docs))
     cut = pieces(docs, tokenizer, length, with_ids)
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    # By the content too: many rows may share a doc_id, or have none.
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", cut.columns[4]), F.lit(groups)))
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         by = [(c, "ascending") for c in ("length", "doc_id", "start", table.schema.names[4])]

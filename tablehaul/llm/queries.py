@@ -50,19 +50,28 @@ LISTED = [
 PATTERNS = [
     Rule("spam-farm.", BLOCK), Rule("cheap-pills.", BLOCK), Rule("casino-win.", BLOCK), Rule("free-bets.", BLOCK),
     Rule("adult-x.", BLOCK), Rule("ads-track.", BLOCK), Rule("/login", BLOCK), Rule("/wp-admin/", BLOCK),
+    Rule("||example.net/es/8", BLOCK), Rule("blog.*.example.net/de/", BLOCK), Rule("||m.*/en/*.html", BLOCK), Rule("*-farm*/es/*7", BLOCK),
 ]
 
 
+def _pattern_sql(rule: Rule) -> str:
+    """Whether a pattern fits: LIKE says it, or an expression that begins at the host or a subdomain."""
+    if rule.text.startswith("||"):
+        return f"regexp_matches(host || path, '^([^/]*\\.)?{rule.name.replace('.', '[.]').replace('*', '.*')}')"
+    return f"(host || path LIKE '%{rule.name.replace('*', '%')}%')"
+
+
 def _url_sql() -> str:
     fits = "\n".join(
         f"WHEN (host = '{r.name.split('/')[0]}' OR ends_with(host, '.{r.name.split('/')[0]}')) "
         f"AND starts_with(path, '/{r.name.split('/', 1)[1]}') THEN '{r.name}'"
         for r in sorted(LISTED, key=lambda r: -len(r.name))
     )
-    patterns = " OR ".join(f"contains(host || path, '{r.text}')" for r in PATTERNS)
+    fits_pattern = {r: _pattern_sql(r) for r in PATTERNS}
+    patterns = " OR ".join(fits_pattern.values())
     blocked = ", ".join(f"'{r.name}'" for r in LISTED if r.verdict == BLOCK)
     longest = "CASE " + " ".join(
-        f"WHEN contains(host || path, '{r.text}') THEN '{r.text}'" for r in sorted(PATTERNS, key=lambda r: -len(r.text))
+        f"WHEN {fits_pattern[r]} THEN '{r.name}'" for r in sorted(PATTERNS, key=lambda r: -len(r.name))
     ) + " END"
     return f"""
         WITH parts AS (
@@ -104,9 +113,10 @@ JACCARD_SQL = f"""
         GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
     both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
     reached(doc_id, other) AS (
-        SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a)
-    SELECT doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(other) AS component_id
-    FROM sets JOIN reached USING (doc_id) GROUP BY doc_id
+        SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a),
+    counts AS (SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a)
+    SELECT doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(other) AS component_id, any_value(coalesce(n_links, 0)) AS n_links
+    FROM sets JOIN reached USING (doc_id) LEFT JOIN counts USING (doc_id) GROUP BY doc_id
 """
 
 SPANS_SQL = f"""
@@ -122,11 +132,12 @@ SPANS_SQL = f"""
         SELECT doc_id, s, count(*) AS n, string_agg({_LOWER.format("word")}, ' ' ORDER BY i) AS t,
             string_agg(piece, '' ORDER BY i) AS raw FROM numbered GROUP BY doc_id, s),
     summed AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY s) AS upto FROM sentences),
-    ends AS (
-        SELECT x.doc_id, x.s AS b, min(y.s) AS e FROM summed x JOIN summed y
+    runs AS (  -- any run with enough words has fewer than 40 sentences more than it needs
+        SELECT x.doc_id, x.s AS b, y.s AS e FROM summed x JOIN summed y
             ON x.doc_id = y.doc_id AND y.s BETWEEN x.s AND x.s + 40
-            AND ((y.s > x.s AND y.upto - x.upto + x.n >= 20) OR y.upto - x.upto + x.n >= 40)
-        GROUP BY x.doc_id, x.s),
+            AND ((y.s > x.s AND y.upto - x.upto + x.n >= 20) OR y.upto - x.upto + x.n >= 40)),
+    ends AS (  -- the shortest from each sentence and the shortest up to each; all longer ones are made of such
+        SELECT doc_id, b, min(e) AS e FROM runs GROUP BY doc_id, b UNION SELECT doc_id, max(b), e FROM runs GROUP BY doc_id, e),
     spans AS (
         SELECT doc_id, b, e, row_number() OVER (PARTITION BY t ORDER BY doc_id, b) AS place FROM (
             SELECT ends.doc_id, b, e, string_agg(t, ' ' ORDER BY s) AS t
@@ -180,7 +191,40 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(documents, tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
-@registered()
+def _crc32_sql(blob: str) -> str:
+    """crc32 of a blob; ``t`` is the table of ``_CRC_TABLE``."""
+    byte = f"CAST(('0x' || substr(h, 2 * i + 1, 2)) AS BIGINT)"
+    step = "xor(c // 256, t[CAST(xor(c % 256, b) AS BIGINT) + 1])"
+    return (
+        f"(SELECT xor(4294967295, list_reduce(list_transform(range(0, CAST(length(h) // 2 AS BIGINT)), lambda i: {byte}), lambda c, b: {step}, 4294967295)) "
+        f"FROM (SELECT hex({blob}) AS h))"
+    )
+
+
+#: crc32 of a blob goes byte by byte through a table of 256 remainders.
+_CRC_TABLE = (
+    "SELECT list(list_reduce(range(0, 9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) "
+    "ORDER BY b) AS t FROM range(256) r(b)"
+)
+
+SHARDS_SQL = f"""
+    WITH crc AS ({_CRC_TABLE}),
+    rows AS (
+        SELECT doc_id, source, CAST(coalesce(strlen(text), 0) + 16 AS BIGINT) AS size, CAST({_crc32_sql("encode(coalesce(text, ''))")} AS BIGINT) AS text_crc32
+        FROM documents, crc),
+    hashed AS (
+        SELECT *, coalesce('=' || source, '') AS stratum, CAST('0x' || substr(md5(concat_ws('|', '0', coalesce(doc_id::VARCHAR, ''), coalesce(source, ''),
+            size::VARCHAR, text_crc32::VARCHAR)), 1, 10) AS BIGINT) AS hash FROM rows),
+    ranked AS (
+        SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY hash, doc_id) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY stratum) AS fraction FROM hashed),
+    placed AS (SELECT *, row_number() OVER (ORDER BY fraction, stratum, hash, doc_id) - 1 AS place, count(*) OVER () AS n FROM ranked)
+    SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 40 // n AS INTEGER) AS shard,
+        CAST(place - (place * 40 // n * n + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM placed
+"""
+
+
+@registered(SHARDS_SQL)
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Law ``rows``; a group of equal texts has no part in it."""
     documents = table(spark, folder, "documents").select(
@@ -205,22 +249,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("text")
 
 
-#: crc32 of a blob as a list of bytes, by its table of 256 remainders.
-_CRC_TABLE = (
-    "SELECT list(list_reduce(range(0, 9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) "
-    "ORDER BY b) AS t FROM range(256) r(b)"
-)
-
 VARIANTS_SQL = f"""
     WITH RECURSIVE crc AS ({_CRC_TABLE}),
     runs AS (
         SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{LETTERS}')) AS run FROM documents),
     repeated AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run),
-    hashed AS (
-        SELECT run, n, xor(4294967295, list_reduce(
-            list_transform(range(0, CAST(length(h) // 2 AS BIGINT)), lambda i: CAST(('0x' || substr(h, 2 * i + 1, 2)) AS BIGINT)),
-            lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS BIGINT) + 1]), 4294967295)) AS crc
-        FROM (SELECT run, n, hex(encode(id || ':' || run)) AS h FROM repeated), crc),
+    hashed AS (SELECT run, n, {_crc32_sql("encode(id || ':' || run)")} AS crc FROM repeated, crc),
     words AS (
         SELECT CASE WHEN crc % 97 = 0 THEN left(run, CAST(crc % length(run) AS BIGINT)) || substr(run, CAST(crc % length(run) AS BIGINT) + 2) ELSE run END AS word,
             sum(n) AS n FROM hashed GROUP BY 1),

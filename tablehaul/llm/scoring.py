@@ -6,8 +6,9 @@ one is missing. The filter is broadcast while it is small; a larger one stays in
 slice of texts go to the segment of their bucket and come back with their levels. Probabilities are interpolated from
 what the probes say.
 
-The exact base score needs each word's exact count, which no task holds for all words: the words of each slice of texts
-go to the bucket of their hash, are counted there, and only sums per document come back.
+The exact base score needs each word's exact count, which no task holds for all words: the distinct words of each slice of
+texts go to the bucket of their hash, are counted there, and the counts come back to the slice. A word that all documents
+have is one entry for each slice there.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from tablehaul.llm.textarrays import byte_slices, flat, mixed, slice_hashes, wor
 BUCKET_TEXT = 24 << 20
 BITS_PER_ENTRY = 12
 PROBES = 5
-#: A filter up to this size is broadcast; a larger one is asked segment by segment.
-MOST_FILTER_BYTES = 192 << 20
+#: A filter up to this size is broadcast; a larger one is asked segment by segment. The driver holds it about three times.
+MOST_FILTER_BYTES = 128 << 20
 #: Counts are below 2**63.
 MOST_LEVEL = 63
 #: Weight of the pair's estimate at a history seen very often, and the count at which half of it is reached.
@@ -116,23 +117,30 @@ class LogFilter:
         return out
 
 
-SENT = (
-    "slice bigint, bucket int, doc_id array<bigint>, text_key array<bigint>, words binary, train binary, in_docs binary, "
-    "docs binary, doc binary, times binary"
-)
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, after a byte that says how many."""
+    width = 1 if values.max(initial=0) < 256 else 2 if values.max() < 65536 else 4
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
 
 
-def _sent(docs: DataFrame, buckets: int) -> DataFrame:
-    """For each slice and bucket with words: the words with their training counts, and the (document, word, times) that
-    need them. Documents are numbers in their slice; the slice's ids travel once, with one of its buckets.
+def _unpacked(packed: pa.Scalar) -> np.ndarray:
+    data = packed.as_buffer()
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
+ENTRIES = "slice bigint, doc_id array<bigint>, text_key array<bigint>, words binary, train binary, in_docs binary, doc binary, times binary"
+
+
+def _entries(docs: DataFrame) -> DataFrame:
+    """For each slice of texts: its distinct words with their training counts and, word by word, the (document, times) that
+    have them. Documents are numbers in their slice.
     """
-    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())] + [pa.binary()] * 6
-    names = [x.split()[0] for x in SENT.split(", ")]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())] + [pa.binary()] * 5
+    names = [x.split()[0] for x in ENTRIES.split(", ")]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(byte_slices(batches, "text", SLICE)):
-            name = (part << 32) + number
             first, tokens = tokens_of(batch.column("text"))
             n = batch.num_rows
             owner = np.repeat(np.arange(n), np.diff(first))
@@ -140,76 +148,83 @@ def _sent(docs: DataFrame, buckets: int) -> DataFrame:
             learns = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             train = np.bincount(code[learns[owner]], minlength=len(words))
             pair, times = np.unique(code.astype(np.int64) * n + owner, return_counts=True)
-            word, doc = pair // n, pair % n
-            home = bucket_of(words, buckets)
-            order = np.argsort(home, kind="stable")
-            starts = np.searchsorted(word, np.arange(len(words) + 1))
-            in_docs = np.diff(starts)
-            here, edges = np.unique(home[order], return_index=True)
-            carrier = here[name % len(here)]
-            for b, own in zip(here.tolist(), np.split(order, edges[1:])):
-                sizes = in_docs[own]
-                rows = np.repeat(starts[own], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                held, local = np.unique(doc[rows], return_inverse=True)
-                ids = batch.column("doc_id").to_pylist() if b == carrier else []
-                keys = text_key(batch.column("text")).tolist() if b == carrier else []
-                numbers = [x.astype(np.uint32).tobytes() for x in (train[own], sizes, held, local, times[rows])]
-                columns = [[name], [b], [ids], [keys], [words[own].tobytes()], *[[x] for x in numbers]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    return in_batches(docs.select("doc_id", "text", "held_out")).mapInArrow(emit, SENT)
-
-
-COUNTED = (
-    "slice bigint, bucket int, doc_id array<bigint>, text_key array<bigint>, docs binary, log_sum binary, known binary, "
-    "total bigint, distinct bigint, segment binary"
-)
-
-
-def _counted(sent: DataFrame) -> DataFrame:
-    """For each slice and bucket, sums per document; and once for each bucket its totals and its filter segment."""
-    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+            in_docs = np.bincount(pair // n, minlength=len(words))
+            columns = [
+                [(part << 32) + number], [batch.column("doc_id").to_pylist()], [text_key(batch.column("text"))], [words.tobytes()],
+                *[[_packed(x)] for x in (train, in_docs, pair % n, times)],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return in_batches(docs.select("doc_id", "text", "held_out")).mapInArrow(emit, ENTRIES)
+
+
+def _homes(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by bucket, the buckets that have any, and where each begins in the order."""
+    home = bucket_of(hashes, buckets)
+    order = np.argsort(home, kind="stable")
+    here, starts = np.unique(home[order], return_index=True)
+    return order, here, starts
+
+
+COUNTED = "slice bigint, bucket int, counts binary, total bigint, distinct bigint, segment binary"
+
+
+def _counted(entries: DataFrame, buckets: int) -> DataFrame:
+    """The counts over all training texts of each slice's words, by bucket; and once for each bucket its totals and its filter
+    segment.
+
+    However many documents have a word, its bucket gets it once from each slice.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, words, train in zip(batch.column("slice").to_pylist(), batch.column("words"), batch.column("train")):
+                words, train = np.frombuffer(words.as_buffer(), np.uint64), _unpacked(train)
+                order, here, starts = _homes(words, buckets)
+                columns = [
+                    pa.array(np.full(len(here), name)), pa.array(here.astype(np.int32)),
+                    pa.array([words[own].tobytes() for own in np.split(order, starts[1:])], pa.binary()),
+                    pa.array([_packed(train[own]) for own in np.split(order, starts[1:])], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "bucket", "words", "train"])
+
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
     names = [x.split()[0] for x in COUNTED.split(", ")]
 
     def count(table: pa.Table) -> pa.Table:
         words = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["words"]]
-        train = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["train"]]
         distinct, code = np.unique(np.concatenate(words), return_inverse=True)
-        total = np.bincount(code, np.concatenate(train), minlength=len(distinct)).astype(np.int64)
-        log = np.log10(total + 1.0)
-        sums, known, at = [], [], 0
-        for i in range(table.num_rows):
-            own = code[at : at + len(words[i])]
-            at += len(words[i])
-            in_docs, doc, times = (np.frombuffer(table[c][i].as_buffer(), np.uint32) for c in ("in_docs", "doc", "times"))
-            which = np.repeat(own, in_docs)
-            sums.append(np.bincount(doc, times * log[which]).tobytes())
-            known.append(np.bincount(doc, times * (total[which] > 0)).astype(np.int64).tobytes())
+        total = np.bincount(code, np.concatenate([_unpacked(x) for x in table["train"]]), minlength=len(distinct)).astype(np.int64)
+        edges = np.cumsum([len(x) for x in words])[:-1]
         seen = total > 0
-        segment = LogFilter.segment(distinct[seen], total[seen], BITS_PER_ENTRY)
         none = [None] * table.num_rows
-        columns = [table[c].combine_chunks().to_pylist() for c in ("slice", "bucket", "doc_id", "text_key", "docs")]
-        columns += [sums, known, none, none, none]
-        own_row = [None, columns[1][0], [], [], None, None, None, int(total.sum()), int(seen.sum()), segment]
+        columns = [table["slice"].to_pylist(), table["bucket"].to_pylist(), [total[own].tobytes() for own in np.split(code, edges)], none, none, none]
+        own_row = [None, columns[1][0], None, int(total.sum()), int(seen.sum()), LogFilter.segment(distinct[seen], total[seen], BITS_PER_ENTRY)]
         return pa.table([pa.array([*c, x], k) for c, x, k in zip(columns, own_row, kinds)], names=names)
 
-    return sent.groupBy("bucket").applyInArrow(count, COUNTED)
+    asked = in_batches(entries.select("slice", "words", "train")).mapInArrow(ask, "slice bigint, bucket int, words binary, train binary")
+    return asked.groupBy("bucket").applyInArrow(count, COUNTED)
 
 
-def _base(counted: DataFrame) -> DataFrame:
-    """A row for each document: what its slice's buckets have for it, added up."""
+def _base(entries: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
+    """A row for each document: sum of log10(count + 1) of its tokens, and how many are known."""
 
-    def add(table: pa.Table) -> pa.Table:
-        ids = [x for row in table["doc_id"].to_pylist() for x in row]
-        keys = [x for row in table["text_key"].to_pylist() for x in row]
-        logs, known = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-        for d, s, k in zip(table["docs"], table["log_sum"], table["known"]):
-            at = np.frombuffer(d.as_buffer(), np.uint32)
-            logs[at] += np.frombuffer(s.as_buffer(), np.float64)
-            known[at] += np.frombuffer(k.as_buffer(), np.int64)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(logs), pa.array(known)], names=["_id", "_key", "logs", "known"])
+    def add(entry: pa.Table, answers: pa.Table) -> pa.Table:
+        words = np.frombuffer(entry["words"][0].as_buffer(), np.uint64)
+        order, here, starts = _homes(words, buckets)
+        total = np.zeros(len(words), np.int64)
+        told = {b: np.frombuffer(x.as_buffer(), np.int64) for b, x in zip(answers["bucket"].to_pylist(), answers["counts"])}
+        for b, own in zip(here.tolist(), np.split(order, starts[1:])):
+            total[own] = told[b]
+        in_docs, doc, times = (_unpacked(entry[c][0]) for c in ("in_docs", "doc", "times"))
+        which = np.repeat(np.arange(len(words)), in_docs)
+        n = len(entry["doc_id"][0])
+        logs = np.bincount(doc, times * np.log10(total + 1.0)[which], minlength=n)
+        known = np.bincount(doc, times * (total > 0)[which], minlength=n).astype(np.int64)
+        return pa.table([entry["doc_id"][0].values, entry["text_key"][0].values, pa.array(logs), pa.array(known)], names=["_id", "_key", "logs", "known"])
 
-    return counted.groupBy("slice").applyInArrow(add, "_id bigint, _key bigint, logs double, known bigint")
+    answers = counted.where("total IS NULL").select("slice", "bucket", "counts")
+    return entries.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(add, "_id bigint, _key bigint, logs double, known bigint")
 
 
 def _pair_segments(docs: DataFrame, buckets: int) -> DataFrame:
@@ -218,11 +233,10 @@ def _pair_segments(docs: DataFrame, buckets: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text", SLICE):
             pairs, n = np.unique(pairs_of(*tokens_of(batch.column("text"))), return_counts=True)
-            home = bucket_of(pairs, buckets)
-            order = np.lexsort((n > 1, home))  # in each bucket those seen once come first; they need no count
-            pairs, n, home = pairs[order], n[order], home[order]
-            edges = np.searchsorted(home, np.arange(buckets + 1))
-            rows = [(b, pairs[s:e].tobytes(), n[s:e][n[s:e] > 1].astype(np.uint32).tobytes()) for b, (s, e) in enumerate(zip(edges[:-1], edges[1:])) if e > s]
+            first = np.argsort(n > 1, kind="stable")  # in each bucket those seen once come first; they need no count
+            pairs, n = pairs[first], n[first]
+            order, here, starts = _homes(pairs, buckets)
+            rows = [(b, pairs[own].tobytes(), n[own][n[own] > 1].astype(np.uint32).tobytes()) for b, own in zip(here.tolist(), np.split(order, starts[1:]))]
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "pairs", "more"])
 
@@ -244,9 +258,15 @@ def _pair_segments(docs: DataFrame, buckets: int) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(count, "bucket int, segment binary")
 
 
-def _filter(segments: dict[int, bytes], buckets: int) -> LogFilter:
-    parts = [np.frombuffer(segments.get(b) or bytes(8), np.uint8) for b in range(buckets)]
-    return LogFilter(np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts])))
+def _filter(segments: DataFrame, buckets: int) -> LogFilter:
+    """The filter of all segments. Only one partition of them is beside it in the driver's memory at a time."""
+    sizes = {r["bucket"]: r["n"] for r in segments.select("bucket", F.octet_length("segment").alias("n")).collect()}  # a number for each bucket
+    start = np.append(0, np.cumsum([sizes.get(b, 8) for b in range(buckets)]))
+    bits = np.zeros(start[-1], np.uint8)
+    for r in segments.toLocalIterator():
+        at = start[r["bucket"]]
+        bits[at : at + len(r["segment"])] = np.frombuffer(r["segment"], np.uint8)
+    return LogFilter(bits, start)
 
 
 #: From distinct n-grams to their levels.
@@ -275,11 +295,16 @@ def _scored(batch: pa.RecordBatch | pa.Table, word_levels: Levels, pair_levels:
 
 
 def _scores_by_broadcast(docs: DataFrame, words: DataFrame, pairs: DataFrame, buckets: int, n: int, v: int) -> DataFrame:
-    filters = [_filter({r["bucket"]: bytes(r["segment"]) for r in x.collect()}, buckets) for x in (words, pairs)]
-    sent = docs.sparkSession.sparkContext.broadcast([(x.bits, x.start) for x in filters])
+    spark = docs.sparkSession.sparkContext
+    # One by one, and each is written to a file of blocks: the driver keeps no more than one of them.
+    sent = []
+    for segments in (words, pairs):
+        whole = _filter(segments, buckets)
+        sent.append(spark.broadcast((whole.bits, whole.start)))
+        del whole
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_filter, pair_filter = (LogFilter(*x) for x in sent.value)
+        word_filter, pair_filter = (LogFilter(*x.value) for x in sent)
         for batch in byte_slices(batches, "text", SLICE // 2):
             yield pa.RecordBatch.from_arrays(_scored(batch, word_filter.levels, pair_filter.levels, n, v), names=NAMES)
 
@@ -303,9 +328,7 @@ def _scores_by_segment(docs: DataFrame, words: DataFrame, pairs: DataFrame, buck
                 first, tokens = tokens_of(batch.column("text").slice(begin, end - begin))
                 rows = []
                 for kind, grams in enumerate((np.unique(tokens), np.unique(pairs_of(first, tokens)))):
-                    home = bucket_of(grams, buckets)
-                    order = np.argsort(home, kind="stable")
-                    here, starts = np.unique(home[order], return_index=True)
+                    order, here, starts = _homes(grams, buckets)
                     rows += [(names[begin], kind, b, own.tobytes()) for b, own in zip(here, np.split(grams[order], starts[1:]))]
                 columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["slice", "kind", "bucket", "grams"])
@@ -347,7 +370,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-volume // BUCKET_TEXT))
-    counted = stored(_counted(_sent(docs, buckets)), "word-counts")
+    entries = stored(_entries(docs), "word-entries")
+    counted = stored(_counted(entries, buckets), "word-counts")
     whole = counted.where("total IS NOT NULL")
     totals = whole.agg(F.sum("total"), F.sum("distinct")).first()
     n, v = totals[0] or 0, totals[1] or 0
@@ -357,7 +381,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     scores = _scores_by_broadcast if held <= MOST_FILTER_BYTES else _scores_by_segment
     scored = scores(docs, words, pairs, buckets, n, v)
     # Rows that were repeated have equal sums; one is enough.
-    base = _base(counted.where("total IS NULL")).groupBy("_id", "_key").agg(F.min("logs").alias("logs"), F.min("known").alias("known"))
+    base = _base(entries, counted, buckets).groupBy("_id", "_key").agg(F.min("logs").alias("logs"), F.min("known").alias("known"))
     joined = scored.join(base, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
     return joined.select(
         "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),

@@ -1,7 +1,12 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed, equal runs are found in one global join, and the sentences covered
+Runs of several consecutive sentences are hashed, equal runs are found in one global join, and the sentences covered
 by any run that isn't the first of its kind are taken out of their text.
+
+Of all runs of enough words, two for each sentence are enough: the shortest that begins and the shortest that ends with it.
+A sentence s of a repeated run from b to e is in a shorter one that repeats with it: in the shortest that begins with b if it
+reaches s, else in the shortest that ends with s, which begins at b or later, as b to s then has enough words. Runs are
+compared by their words; where the same words are parted into other sentences, only those two are compared.
 """
 
 from __future__ import annotations
@@ -47,9 +52,10 @@ def sentences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def spans(first: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first sentence, sentence after the last, 128-bit hash as two columns) of the span that begins at each sentence.
+    """(first sentence, sentence after the last, 128-bit hash as two columns) of the shortest spans that begin and that end at
+    each sentence, each once.
 
-    No span reaches into the next text; a sentence too near to the end of its text begins none.
+    No span reaches into another text; a sentence too near to an edge of its text begins or ends none.
     """
     m = len(at)
     if not m:
@@ -61,7 +67,15 @@ def spans(first: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
     lone = np.searchsorted(edge, edge[:-1] + LONE_WORDS)
     end = np.minimum(two, np.maximum(lone, begin + 1))
     good = end <= own_end
-    begin, end = begin[good], end[good]
+    # The same from the other side: the last sentence that is early enough, for spans that end before sentence k + 1.
+    last = np.arange(1, m + 1)
+    two = np.minimum(np.searchsorted(edge, edge[1:] - SPAN_WORDS, side="right") - 1, last - 2)
+    lone = np.minimum(np.searchsorted(edge, edge[1:] - LONE_WORDS, side="right") - 1, last - 1)
+    start = np.maximum(two, lone)
+    fits = start >= np.repeat(first[:-1], np.diff(first))
+    # A span that is both is the shortest from its begin; it was taken there.
+    fits[fits] = end[start[fits]] != last[fits]
+    begin, end = np.append(begin[good], start[fits]), np.append(end[good], last[fits])
     out = np.zeros((2, len(begin)), np.uint64)
     for k, base in enumerate(_BASES):
         total = np.zeros(len(hashes) + 1, np.uint64)
@@ -77,7 +91,7 @@ def _text_key() -> Column:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, begin, end, h): sentence numbers count within the text."""
+    """(doc_id, key, begin, end, h1, h2): sentence numbers count within the text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
@@ -91,8 +105,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "begin", "end", "h1", "h2"])
 
     given = docs.select(F.col("doc_id").cast("bigint"), "text", _text_key().alias("key"))
-    rows = in_batches(given).mapInArrow(find, "doc_id bigint, key bigint, begin int, end int, h1 bigint, h2 bigint")
-    return rows.withColumn("h", F.struct("h1", "h2")).drop("h1", "h2")
+    return in_batches(given).mapInArrow(find, "doc_id bigint, key bigint, begin int, end int, h1 bigint, h2 bigint")
 
 
 def remove_repeated_spans(docs: DataFrame) -> DataFrame:
@@ -104,12 +117,15 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     Rows with the same doc_id and other texts are documents of their own. A null
     text stays null; a text may end up empty. Added columns replace those of ``docs`` with their name.
     """
-    found = _occurrences(docs)
-    here = F.struct("doc_id", "begin", "key")
-    repeated = found.groupBy("h").agg(F.min(here).alias("head"), F.count("*").alias("times")).where("times > 1")
-    repeated = stored(repeated, "repeated-spans")
+    found = stored(_occurrences(docs), "spans")
+    h = ["h1", "h2"]
+    # Few spans repeat: only the hashes of all are counted, and only those that do are compared by place.
+    repeated = stored(found.groupBy(*h).agg(F.count("*").alias("times")).where("times > 1"), "repeated-hashes")
     total = repeated.agg(F.sum("times")).first()[0] or 0
-    again = join_counted(found, repeated, "h", "times", total).where(~here.eqNullSafe(F.col("head")))
+    again = stored(join_counted(found, repeated, h, "times", total), "repeated-spans")
+    here = F.struct("doc_id", "begin", "key")
+    heads = again.groupBy(*h, "times").agg(F.min(here).alias("head"))
+    again = join_counted(again.drop("times"), heads, h, "times", total).where(~here.eqNullSafe(F.col("head")))
     covered = again.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("_covered"))
     covered = covered.select(F.col("doc_id").alias("_covered_id"), F.col("key").alias("_covered_key"), "_covered")
     docs = docs.drop("_covered", "_covered_id", "_covered_key")

@@ -7,14 +7,20 @@ under them, and only those rules' regular expressions run.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablehaul.llm.frames import free_prefix
+
 #: Rules up to this number are broadcast (a few hundred bytes each); more rules are joined by shuffle.
 BROADCAST_RULES = 20_000
+RULES_AT_ONCE = 1000
+#: Parts of all addresses for rules without a whole token, where rules are joined by shuffle.
+SALTS = 64
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -54,18 +60,16 @@ def host_rule(host: str, path: str, verdict: str) -> Rule:
     return Rule(f"||{host}{path}", verdict, listed=True)
 
 
+_RULE = "array<struct<rule_id:int,rule:string,rule_verdict:string,listed:boolean,regex:string,tokens:array<string>>>"
+
+
 def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    rows = [
-        (i, r.name, r.verdict, r.listed, r.regex, r.tokens or [""]) for i, r in enumerate(rules)
-    ]
-    literal = F.array(*[
-        F.struct(
-            F.lit(i).alias("rule_id"), F.lit(name).alias("rule"), F.lit(verdict).alias("rule_verdict"), F.lit(listed).alias("listed"),
-            F.lit(regex).alias("regex"), F.array(*map(F.lit, tokens)).alias("tokens"),
-        )
-        for i, name, verdict, listed, regex, tokens in rows
-    ]) if rows else F.expr("CAST(array() AS array<struct<rule_id:int,rule:string,rule_verdict:string,listed:boolean,regex:string,tokens:array<string>>>)")
-    return spark.range(1).select(F.inline(literal))
+    """A row for each rule. Rules travel as texts of ``RULES_AT_ONCE`` rules each, as a plan with a literal for each is slow."""
+    names = ("rule_id", "rule", "rule_verdict", "listed", "regex", "tokens")
+    rows = [dict(zip(names, (i, r.name, r.verdict, r.listed, r.regex, r.tokens or [""]))) for i, r in enumerate(rules)]
+    texts = [json.dumps(rows[at : at + RULES_AT_ONCE]) for at in range(0, len(rows), RULES_AT_ONCE)]
+    given = spark.range(1).select(F.explode(F.array(*map(F.lit, texts)).cast("array<string>")).alias("rules"))
+    return given.select(F.inline(F.from_json("rules", _RULE)))
 
 
 def split_url(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -103,15 +107,21 @@ def filter_urls(pages: DataFrame, rules: list[Rule], default: str = ALLOW, url:
     rarest = literals.join(bounded(frequency), "token", "left").groupBy("rule_id").agg(
         F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")).alias("token")
     )
-    index = rarest.join(table.drop("tokens"), "rule_id")
-    candidates = by_token.join(bounded(index), "token")
+    # Every address asks for the rules without a token: they are there once for each part of the addresses.
+    salts = 1 if small else SALTS
+    parts = F.explode(F.sequence(F.lit(0), F.when(F.col("token") == "", salts - 1).otherwise(0)))
+    index = rarest.join(table.drop("tokens"), "rule_id").withColumn("salt", parts)
+    salt = F.when(F.col("token") == "", F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int")).otherwise(0)
+    candidates = by_token.withColumn("salt", salt).join(bounded(index), ["token", "salt"])
     fits = candidates.where(F.expr("rlike(concat(host, path), regex)"))
     order = F.struct(F.col("listed"), F.length("rule"), -F.col("rule_id"))
     best = fits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "rule_verdict", "listed"), order).alias("best"))
-    best = best.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "best")
-    judged = split.join(best, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
+    own = {c: free_prefix(split) + c for c in ("host", "path", "best")}
+    best = best.select(*[F.col(c).alias(name) for c, name in own.items()])
+    judged = split.join(best, (F.col("host") == F.col(own["host"])) & (F.col("path") == F.col(own["path"])), "left")
+    found = F.col(own["best"])
     return judged.withColumns({
-        "rule": F.when(F.col("best.listed"), F.col("best.rule")),
-        "pattern": F.when(~F.col("best.listed"), F.col("best.rule")),
-        "verdict": F.coalesce("best.rule_verdict", F.lit(default)),
-    }).drop("_host", "_path", "best")
+        "rule": F.when(found["listed"], found["rule"]),
+        "pattern": F.when(~found["listed"], found["rule"]),
+        "verdict": F.coalesce(found["rule_verdict"], F.lit(default)),
+    }).drop(*own.values())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from itertools import combinations
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 
 from tablehaul.llm.components import connected
-from tablehaul.llm.jaccard import Similarity, jaccard_groups, trie_links
+from tablehaul.llm.jaccard import Similarity, jaccard_groups, one_of_each_group, trie_links
 from tablehaul.llm.spans import remove_repeated_spans
 
 BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -29,7 +30,7 @@ def shingles(text, size):
 
 def groups_by_force(rows, rule):
     sets = [shingles(t, rule.size) for _, t in rows]
-    parent = list(range(len(rows)))
+    parent, links = list(range(len(rows))), [0] * len(rows)
 
     def root(i):
         while parent[i] != i:
@@ -40,15 +41,17 @@ def groups_by_force(rows, rule):
         both = len(sets[a] & sets[b])
         if both and 100 * both >= rule.percent * len(sets[a] | sets[b]):
             parent[root(a)] = root(b)
+            links[a] += 1
+            links[b] += 1
     out = []
     for i, (doc, _) in enumerate(rows):
         own = [rows[j][0] for j in range(len(rows)) if root(j) == root(i) and rows[j][0] is not None] if sets[i] else [doc]
-        out.append((doc, len(sets[i]), min(own) if own and own[0] is not None else None))
+        out.append((doc, len(sets[i]), min(own) if own and own[0] is not None else None, links[i]))
     return sorted(out, key=str)
 
 
 def got(df):
-    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=str)
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in df.collect()), key=str)
 
 
 def near_copies(rnd, n, length, changes):
@@ -81,6 +84,19 @@ def test_groups_of_odd_rows(docs, odd_rows, spark):
     assert jaccard_groups(docs([])).collect() == []
 
 
+def test_a_shingle_of_most_texts_is_dealt_by_node(docs, monkeypatch):
+    import tablehaul.llm.jaccard as module
+
+    rnd = random.Random(12)
+    rows = near_copies(rnd, 100, 30, 3)
+    rows = [(i, f"all texts begin with this {t}" if rnd.random() < 0.8 else t) for i, t in rows] + rows[:20]
+    monkeypatch.setattr(module, "HOT_NODES", 3)
+    monkeypatch.setattr(module, "BUCKET_BYTES", 3000)
+    for few in (0, 200_000):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", few)
+        assert got(jaccard_groups(docs(rows, 5), Similarity(2, 60))) == groups_by_force(rows, Similarity(2, 60))
+
+
 def test_small_tiles_find_the_same_links(docs, monkeypatch):
     import tablehaul.llm.jaccard as module
 
@@ -100,7 +116,8 @@ def test_trie_links_join_what_brute_force_joins(monkeypatch):
         rule = Similarity(1, rnd.choice([50, 80, 90]))
         half = trial % 2
         probes, kept = (np.arange(12), np.arange(12, 25)) if half else (np.arange(25), np.arange(25))
-        found = trie_links(sets, np.array([len(s) for s in sets]), probes, kept, rule)
+        copies = np.array([rnd.randint(1, 3) for _ in sets])
+        found, counts = trie_links(sets, np.array([len(s) for s in sets]), probes, kept, rule, copies)
         parent = list(range(25))
 
         def root(i, parent):
@@ -108,7 +125,7 @@ def test_trie_links_join_what_brute_force_joins(monkeypatch):
                 i = parent[i]
             return i
 
-        mine, theirs = list(parent), list(parent)
+        mine, theirs, numbers = list(parent), list(parent), np.zeros(25, np.int64)
         for a, b in found:
             mine[root(a, mine)] = root(b, mine)
         for a in probes:
@@ -116,10 +133,28 @@ def test_trie_links_join_what_brute_force_joins(monkeypatch):
                 both = len(np.intersect1d(sets[a], sets[b]))
                 if a != b and 100 * both >= rule.percent * (len(sets[a]) + len(sets[b]) - both):
                     theirs[root(a, theirs)] = root(b, theirs)
+                    numbers[a] += copies[b]
+                    numbers[b] += copies[a] * half
+        assert counts.tolist() == numbers.tolist()
         same = lambda p: [[root(i, p) == root(j, p) for j in range(25)] for i in range(25)]
         assert same(mine) == same(theirs)
 
 
+def test_one_row_of_each_group_stays(docs):
+    long = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (7, long), (7, "none of the words of that other text are here at all"), (None, long), (None, "a text of its own without any id"), (3, None), (3, ""),
+        (9, f"{long}."), (9, f"{long}."), (2, "told twice by one document"), (2, "told twice by one document"), (None, "so short"), (None, "so short"),
+    ]
+    table = docs(rows)
+    out = one_of_each_group(table, Similarity(1, 50))
+    assert out.columns == table.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([
+        (7, long), (7, rows[1][1]), (None, rows[3][1]), (3, None), (3, ""), (2, rows[8][1]), (None, "so short")
+    ], key=str)
+    assert one_of_each_group(docs([])).collect() == []
+
+
 def test_components(spark):
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(70)]
@@ -155,22 +190,30 @@ def sentences_by_force(text):
     return [(text[at[i] : at[i + 1]], [lowered(w[0]) for w in words[s:e]]) for i, (s, e) in enumerate(zip(starts, ends))]
 
 
-def spans_by_force(rows):
-    heads, found = {}, []
+def spans_by_force(rows, longest=True):
+    """All runs of enough words, of any length: a repeated one takes its sentences away from all but the first place.
+
+    Without ``longest`` only runs that have no shorter one with the same begin, or none with the same end. That makes a
+    difference only where the same words are parted into other sentences.
+    """
+    heads, places = {}, []
     split = [sentences_by_force(t) for _, t in rows]
     for row, (doc, _) in enumerate(rows):
-        for b in range(len(split[row])):
-            words = []
-            for e in range(b, len(split[row])):
-                words += split[row][e][1]
-                if (e > b and len(words) >= 20) or len(words) >= 40:
-                    at = (doc if doc is not None else -1, b)
-                    heads[tuple(words)] = min(heads.get(tuple(words), at), at)
-                    found.append((row, b, e, tuple(words), at))
-                    break
+        own = [" ".join(words) for _, words in split[row]]
+        size = [len(words) for _, words in split[row]]
+        enough = lambda b, e: (e > b and sum(size[b : e + 1]) >= 20) or sum(size[b : e + 1]) >= 40  # noqa: B023, E731
+        for b in range(len(own)):
+            n, text = 0, hashlib.md5()
+            for e in range(b, len(own)):
+                n += size[e]
+                text.update((own[e] + " ").encode())
+                if ((e > b and n >= 20) or n >= 40) and (longest or e == b or not enough(b + 1, e) or not enough(b, e - 1)):
+                    at, name = (doc if doc is not None else -1, b), text.digest()
+                    heads[name] = min(heads.get(name, at), at)
+                    places.append((row, b, e, name, at))
     gone = {}
-    for row, b, e, words, at in found:
-        if heads[words] != at:
+    for row, b, e, name, at in places:
+        if heads[name] != at:
             gone.setdefault((rows[row][0]), set()).update(range(b, e + 1))
     out = []
     for (doc, text), own in zip(rows, split):
@@ -191,11 +234,13 @@ def test_spans_of_tables(docs, texts):
     assert spans_of(remove_repeated_spans(docs(texts))) == spans_by_force(texts)
 
 
-def test_spans_of_made_texts(docs):
+@pytest.mark.parametrize("ends", ["always", "sometimes"])
+def test_spans_of_made_texts(docs, ends):
     rnd = random.Random(8)
-    stock = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(rnd.randint(1, 14))) + rnd.choice([".", "!", "?\"", ""]) for _ in range(12)]
+    signs = [".", "!", "?\""] if ends == "always" else [".", "!", "?\"", ""]
+    stock = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(rnd.randint(1, 14))) + rnd.choice(signs) for _ in range(12)]
     rows = [(i, rnd.choice(["", "  "]) + rnd.choice([" ", "\n", "  "]).join(rnd.choice(stock) for _ in range(rnd.randint(0, 9)))) for i in range(60)]
-    assert spans_of(remove_repeated_spans(docs(rows))) == spans_by_force(rows)
+    assert spans_of(remove_repeated_spans(docs(rows))) == spans_by_force(rows, longest=ends == "always")
 
 
 def test_spans_of_odd_rows(docs, odd_rows):
@@ -206,6 +251,15 @@ def test_spans_of_odd_rows(docs, odd_rows):
     assert remove_repeated_spans(docs([])).collect() == []
 
 
+def test_the_tail_of_a_passage_goes_too(docs):
+    """Its last sentences have too few words for a run of their own, but a run that ends with them has enough."""
+    words = lambda n, w: " ".join([w] * n)
+    passage = f"{words(25, 'one')}. {words(12, 'two')}. {words(8, 'three')}. {words(6, 'four')}."
+    rows = [(i, f"Own start {i}. {passage} Own end {i}.") for i in range(3)]
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in remove_repeated_spans(docs(rows)).collect()}
+    assert out == {0: (rows[0][1], 0), 1: ("Own start 1. Own end 1.", 4), 2: ("Own start 2. Own end 2.", 4)}
+
+
 def test_long_passage_goes_from_all_but_the_first(docs):
     passage = "First we say this here at some length. Then we go on to say that. It all goes on for quite some time. " \
         "There is always another sentence to be said. And so it ends after more than fifty words, as is only fitting now."

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import random
 
 import pytest
 
@@ -37,7 +38,7 @@ def test_quality_keeps_rows_whole(stages):
 def test_one_document_of_each_group_stays(stages):
     before, after = stages[1:3]
     groups = groups_by_force([(r["doc_id"], r["text"]) for r in before], pipeline.NEAR)
-    assert sorted(r["doc_id"] for r in after) == sorted({c for _, _, c in groups})
+    assert sorted(r["doc_id"] for r in after) == sorted({c for _, _, c, _ in groups})
 
 
 def test_repeated_spans_go(stages):
@@ -72,3 +73,16 @@ def test_stages_take_odd_rows(spark, folder, odd_rows):
     near = pipeline.near_duplicates(spark, docs, folder).collect()
     assert sorted(r["doc_id"] for r in near if r["doc_id"] is not None) == [1, 2, 3, 5, 7, 9, 10, 11, 13]
     assert sum(r["doc_id"] is None for r in near) == 2
+
+
+def test_clean_rows_stay_beside_rows_with_their_id(spark, folder):
+    """Rows that share a doc_id, or have none, are judged each by its own text."""
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rnd = random.Random(1)
+    clean = [" ".join(rnd.choice("this goes from here to there with many more words of all kinds now".split()) for _ in range(40)) for _ in range(4)]
+    rows = [(None, clean[0]), (None, f"{clean[1]} {item}"), (7, clean[2]), (7, clean[3]), (7, clean[3]), (8, f"{clean[0]} so"), (8, item)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    near = [(r["doc_id"], r["text"]) for r in pipeline.near_duplicates(spark, docs, folder).collect()]
+    assert sorted(near, key=str) == sorted([rows[1], rows[2], rows[3], rows[5], rows[6]], key=str)
+    left = [(r["doc_id"], r["text"]) for r in pipeline.benchmark_leaks(spark, docs, folder).collect()]
+    assert sorted(left, key=str) == sorted([rows[0], rows[2], rows[3], rows[4], rows[5]], key=str)
