@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablehaul.llm.components import rows_by_id, stored
+from tablehaul.llm.components import stored
 from tablehaul.llm.decontaminate import find_leaks, remove_leaks
-from tablehaul.llm.jaccard import Similarity, jaccard_groups
+from tablehaul.llm.jaccard import Similarity, one_of_each_group
 from tablehaul.llm.packing import pack_documents
 from tablehaul.llm.quality import fit_quality, judge_quality
 from tablehaul.llm.queries import table, tokenizer_file
@@ -24,28 +24,30 @@ NEAR = Similarity(size=5, percent=80)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule and the trees keep; the trees learn from ``labels``."""
+    """Documents that the base rule and the trees keep; the trees learn from ``labels``.
+
+    Each row is judged by its own text, so null and repeated ids make no difference; a null or empty text fails the base
+    rule. Very long texts are judged whole. No documents, no rows.
+    """
     trees = fit_quality(docs, table(spark, sf_dir, "labels"))
     return judge_quality(docs, trees).where("kept").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id.
+    """One document of each group of near duplicates: the one with the smallest doc_id, of several rows with that id the one
+    whose text has the smallest hash.
 
-    Of rows that share a doc_id one stays, the one with the smallest text. Rows without a doc_id or without a word are
-    in no group; they stay.
+    A null doc_id comes after all others. Rows that share a doc_id are in one group only if their texts are near duplicates;
+    of repeated rows one stays. Rows without a word are in no group; they all stay. No documents, no rows.
     """
-    groups = stored(jaccard_groups(docs, NEAR).select("doc_id", "component_id"), "groups")
-    kept = rows_by_id(docs, groups.where("doc_id <> component_id"), inside=False)
-    again = stored(groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    others = F.struct(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    smallest = F.struct(F.col("text").isNull(), "text")
-    repeated = rows_by_id(kept, again, inside=True).groupBy("doc_id").agg(F.min_by(others, smallest).alias("row"))
-    return rows_by_id(kept, again, inside=False).unionByName(repeated.select("doc_id", "row.*").select(docs.columns))
+    return one_of_each_group(docs, NEAR)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated sentence spans; those of which nothing is left go. ``n_chars`` follows the text."""
+    """Documents without repeated sentence spans; those of which nothing is left go. ``n_chars`` follows the text.
+
+    Rows lose only their own repeats, whatever rows share their doc_id; null and empty texts stay as they are.
+    """
     out = remove_repeated_spans(docs).where("n_removed = 0 OR n_removed < n_sentences")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("bigint"))
@@ -53,13 +55,20 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of ``benchmark``."""
+    """Documents that hold no item of ``benchmark``.
+
+    Only rows whose own text holds one go, not others with the same or no doc_id. Null and empty texts hold none.
+    """
     leaks = stored(find_leaks(docs, table(spark, sf_dir, "benchmark")), "leaks")
     return remove_leaks(docs, leaks).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece of each document with its place in a sequence."""
+    """A row for each piece of each document with its place in a sequence.
+
+    A null or empty text is one piece of one token, its end. Null and repeated ids are rows like others. Very long texts are
+    cut into pieces. No documents, no rows.
+    """
     return pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 
