@@ -93,13 +93,13 @@ def _columns(schema: T.StructType) -> tuple[tuple[str, str, str], ...]:
 
 
 def _present(spark: SparkSession, name: str) -> _Present:
-    described = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
-    # Columns come first; what is known of the table follows after an empty line.
-    known = dict(described[[k for k, _ in described].index("") :] if ("", "") in described else described)
-    columns = spark.catalog.listColumns(name)
-    partitioned = any(c.isPartition for c in columns)
-    found = () if partitioned else tuple((c.name, c.dataType, c.description or "") for c in columns)
-    return _Present(known.get("Type", ""), known.get("Provider", "").lower(), found, known.get("Location", ""))
+    described = [(r["col_name"], r["data_type"], r["comment"] or "") for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    names = [k for k, _, _ in described]
+    # Columns come first, with their declared types; what is known of the table follows after a line of its own.
+    end = min(i for i, k in enumerate(names) if k == "" or k.startswith("# "))
+    known = {k: v for k, v, _ in described[end:]}
+    columns = () if "# Partition Information" in names else tuple(described[:end])
+    return _Present(known.get("Type", ""), known.get("Provider", "").lower(), columns, known.get("Location", ""))
 
 
 def _point_to_new_rows(spark: SparkSession, name: str, last: str, old: str, rows: DataFrame) -> None:
