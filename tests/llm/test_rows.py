@@ -414,6 +414,69 @@ def test_filter_gives_levels_back():
     assert (filter_.levels(rng.integers(0, 2**63, 20_000, dtype=np.uint64)) == 0).mean() > 0.98
 
 
+# --- hot keys, odd names and settings ------------------------------------------------------------------
+
+
+def test_many_rules_are_a_plan_of_few_literals(spark, monkeypatch):
+    import time
+
+    import tablehaul.llm.urls as urls
+
+    rules = [Rule(f"||site{i}.org/", "block") for i in range(20_000)] + [Rule("*bad*", "block"), Rule("||shop.*/sale*", "block")]
+    rows = [(i, f"http://a.site{i * 7}.org/x", 1, "b", 2) for i in range(50)] + [(90, "http://z.org/so/bad/", 1, "b", 2), (91, None, 1, "b", 2)]
+    rows += [(92, "http://shop.example.com/sale-1", 1, "b", 2), (93, "http://shop.org/" + "x" * 200_000 + "/bad", 1, "b", 2)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, best int, _best string, token int")
+    start = time.perf_counter()
+    got = {r["page_id"]: (r["pattern"], r["verdict"], r["best"], r["_best"]) for r in filter_urls(pages, rules).collect()}
+    assert time.perf_counter() - start < 30
+    assert got[3] == ("site21.org/", "block", 1, "b") and got[90][0] == "*bad*" and got[91] == (None, "allow", 1, "b")
+    assert got[92][0] == "shop.*/sale*" and got[93][0] == "*bad*" and sum(v[1] == "block" for v in got.values()) == 53
+    few = rules[:300] + rules[-2:]
+    want = sorted(map(str, filter_urls(pages, few).collect()))
+    monkeypatch.setattr(urls, "BROADCAST_RULES", 0)
+    assert sorted(map(str, filter_urls(pages, few).collect())) == want
+    assert filter_urls(pages, []).where("verdict = 'allow'").count() == len(rows)
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """Neither parts of shards nor groups of packing grow with the rows that share a doc_id or have none."""
+    from pyspark.sql import functions as F
+
+    import tablehaul.llm.shards as shards
+
+    docs = spark.range(60_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"))
+    part = F.shiftright(shards._hash(docs, 0) * 8, shards.HASH_BITS)
+    sizes = [r["count"] for r in docs.groupBy(part.alias("part")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.1 * 7500
+    out = shard_documents(docs.limit(2000), shards=7, part_rows=100).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"))
+    assert {(r["n"], r["slots"]) for r in out.collect()} <= {(285, 285), (286, 286)}
+    packed = pack_documents(docs.limit(3000), WORD_BPE, group_docs=300)
+    groups = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 40).alias("group")).count().collect()]
+    assert len(groups) == 10 and max(groups) < 2 * 300
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, f"text {i}", "s", 1, 2, 3, 4, "5") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _start int, _hash int, __part int, _band int, _size string")
+    out = shard_documents(docs, shards=3, part_rows=10)
+    assert out.columns == [*docs.columns, "shard", "slot"] and out.count() == 50
+    assert sorted(map(tuple, out.select(docs.columns).collect())) == sorted(rows)
+
+
+def test_sizes_of_batches_may_have_units(spark):
+    from tablehaul.llm.frames import ARROW_BYTES, in_batches
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, left in (("16m", ARROW_BYTES), ("2m", 2 << 20), ("4096k", 4 << 20), (str(1 << 20), 1 << 20)):
+            spark.conf.set(name, given)
+            in_batches(spark.range(1))
+            assert spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) == left
+    finally:
+        spark.conf.set(name, before)
+
+
 # --- leaks --------------------------------------------------------------------------------------------
 
 QUESTION = "A train with 3 cars leaves the old station at 14 hours and John pays 25 dollars to go 120 km with 3 friends."
