@@ -29,28 +29,38 @@ PROBES = 2
 UNKNOWN = "und"
 
 
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 texts, and the offsets of the texts in them."""
+    begins = (data & 0xC0) != 0x80
+    at = np.flatnonzero(begins)
+    padded = np.append(data, np.zeros(3, np.uint8)).astype(np.uint32)
+    lead = padded[at]
+    more = (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & np.array([0x7F, 0x1F, 0x0F, 0x07], np.uint32)[more]
+    for k in range(1, 4):
+        longer = more >= k
+        point[longer] = (point[longer] << 6) | (padded[at[longer] + k] & 0x3F)
+    return point, np.append(0, np.cumsum(begins))[offsets]
+
+
 def letter_ngrams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each size: hashes of all n-grams of UTF-8 bytes of letters and single blanks, and the first one of each text.
+    """For each size: hashes of all n-grams of letters and single blanks, and the first one of each text.
 
-    Bytes of ASCII signs and digits part n-grams; other characters beside ASCII count as letters here.
+    ASCII signs and digits part n-grams; other characters beside ASCII count as letters here.
     """
-    data, offsets = flat(pc.utf8_lower(texts.cast(pa.large_string())))
-    kind = np.zeros(256, bool)
-    kind[ord("a") : ord("z") + 1] = True
-    kind[0x80:] = True
-    kind[[0x20, 0x0A]] = True
-    shown = np.where(data == 0x0A, np.uint8(0x20), data)
-    good = kind[data]
+    points, offsets = code_points(*flat(pc.utf8_lower(texts.cast(pa.large_string()))))
+    points[points == 0x0A] = 0x20
+    good = ((points >= ord("a")) & (points <= ord("z"))) | (points >= 0x80) | (points == 0x20)
     owner_end = np.repeat(offsets[1:], np.diff(offsets))
     for size in SIZES:
-        n = max(0, len(data) - size + 1)
-        code = np.zeros(n, np.uint64)
+        n = max(0, len(points) - size + 1)
+        code = np.full(n, size, np.uint64)
         fine = np.arange(size, n + size) <= owner_end[:n]
         for k in range(size):
-            code = (code << np.uint64(8)) | shown[k : n + k].astype(np.uint64)
+            code = code * np.uint64(0x9E3779B97F4A7C15) + points[k : n + k]
             fine &= good[k : n + k]
         at = np.flatnonzero(fine)
-        yield size, code[at] | np.uint64(size << 56), np.searchsorted(at, offsets)
+        yield size, code[at], np.searchsorted(at, offsets)
 
 
 @dataclass

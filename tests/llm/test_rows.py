@@ -414,6 +414,22 @@ def test_filter_gives_levels_back():
     assert (filter_.levels(rng.integers(0, 2**63, 20_000, dtype=np.uint64)) == 0).mean() > 0.98
 
 
+def test_ngrams_are_of_characters():
+    from tablehaul.llm.language import code_points, letter_ngrams
+    from tablehaul.llm.textarrays import flat
+
+    texts = ["", "aé日\U0001f600\x7f߿ࠀ￿", None, "Ünï 日本語", "ab1cd", "\U0010ffff"]
+    points, offsets = code_points(*flat(pa.array(texts, pa.string())))
+    assert [points[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [[ord(c) for c in t or ""] for t in texts]
+    for size, codes, first in letter_ngrams(pa.array(texts, pa.string())):
+        want = []
+        for t in texts:
+            t = (t or "").lower()
+            grams = [t[k : k + size] for k in range(len(t) - size + 1)]
+            want.append([g for g in grams if all("a" <= c <= "z" or c > "\x7f" or c == " " for c in g)])
+        assert np.diff(first).tolist() == list(map(len, want)) and len(set(codes.tolist())) == len({g for own in want for g in own})
+
+
 # --- hot keys, odd names and settings ------------------------------------------------------------------
 
 
