@@ -23,6 +23,9 @@ ILLEGAL_IN_XML = r"[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]
 # Any sign that is replaced: an entity's, or one that XML can't hold.
 CHANGED_IN_XML = r"[^\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]|[&<>\"]"
 
+# Types whose text has neither kind of sign.
+PLAIN_IN_XML = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def result_lines(df: DataFrame, format: str = "tsv2", sep: str | None = None, header: bool = False) -> DataFrame:
     """One line per row, column ``value``, in one of the formats
@@ -44,7 +47,8 @@ def result_lines(df: DataFrame, format: str = "tsv2", sep: str | None = None, he
         return headed(lines, joiner.join(f"'{c}'" for c in df.columns)) if header else lines
     if format in MARKUP:
         element = _attributes if format == "xmlattr" else _elements
-        lines = rows.select(element([_markup_name(c) for c in df.columns], texts).alias("value"))
+        safe = [t if isinstance(f.dataType, PLAIN_IN_XML) else _markup_safe(t) for t, f in zip(texts, df.schema, strict=True)]
+        lines = rows.select(element([_markup_name(c) for c in df.columns], safe).alias("value"))
         return headed(lines, "<resultset>", "</resultset>")
     known = ", ".join([*SEPARATED, *QUOTED, *MARKUP])
     raise ValueError(f"unknown format {format!r}, known: {known}; see to_long_form for one line per cell")
@@ -69,14 +73,12 @@ def _in_quotes(text: Column) -> Column:
 
 
 def _attributes(names: list[str], texts: list[Column]) -> Column:
-    parts = [F.concat(F.lit(f' {n}="'), _markup_safe(t), F.lit('"')) for n, t in zip(names, texts, strict=True)]
+    parts = [F.concat(F.lit(f' {n}="'), t, F.lit('"')) for n, t in zip(names, texts, strict=True)]
     return F.concat(F.lit("<result"), *parts, F.lit("/>"))
 
 
 def _elements(names: list[str], texts: list[Column]) -> Column:
-    parts = [
-        F.concat(F.lit(f"<{n}>"), _markup_safe(t), F.lit(f"</{n}>")) for n, t in zip(names, texts, strict=True)
-    ]
+    parts = [F.concat(F.lit(f"<{n}>"), t, F.lit(f"</{n}>")) for n, t in zip(names, texts, strict=True)]
     return F.concat(F.lit("<result>"), *parts, F.lit("</result>"))
 
 

@@ -144,3 +144,14 @@ def test_markup_is_read_by_an_xml_parser(spark, tmp_path):
 def test_long_form(spark):
     df = spark.sql("select 1 id, 2 a, cast(null as int) b")
     assert sorted(map(tuple, to_long_form(df, ["id"]).collect())) == [(1, "a", "2"), (1, "b", None)]
+
+
+def test_markup_of_numbers_and_times_is_their_text(spark):
+    row = spark.sql(
+        "SELECT -1.5D AS d, double('NaN') AS x, 1.50BD AS m, true AS b, date'2020-01-02' AS day, timestamp_ntz'2020-01-02 03:04:05' AS at, "
+        "CAST(NULL AS INT) AS n, '<&>' AS t, array('<') AS a"
+    )
+    expected = (
+        '<result d="-1.5" x="NaN" m="1.50" b="true" day="2020-01-02" at="2020-01-02 03:04:05" n="NULL" t="&lt;&amp;&gt;" a="[&quot;&lt;&quot;]"/>'
+    )
+    assert [r.value for r in result_lines(row, "xmlattr").collect()][1:-1] == [expected]
