@@ -16,6 +16,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +29,10 @@ END_ID = 0
 #: Documents whose last pieces are packed together.
 GROUP_DOCS = 20_000
 BATCH_BYTES = 4 << 20
-UNITS_PER_STRING = 400
-#: Units that a Python worker remembers, about 200 bytes each.
-UNITS_KEPT = 120_000
+UNITS_PER_STRING = 100
+#: Units that a Python worker remembers, about 50 bytes each, and the bytes of the longest that it does.
+UNITS_KEPT = 500_000
+LONGEST_KEPT = 64
 
 
 @cache
@@ -54,32 +56,53 @@ def unit_ids(spelled: list[str], path: str) -> list[bytes]:
     """The ids of each unit, as 32-bit numbers.
 
     Units of letters only are one word each, so many of them are encoded as one string; its ids are cut where a word
-    ends. All other units are encoded one by one. A worker keeps a bounded number of units for its next batches.
+    ends. All other units are encoded one by one.
     """
     tokenizer, ends = encoder(path)
-    known = worker_memory(f"units {path}")
-    if len(known) > UNITS_KEPT:
-        known.clear()
-    new = [x for x in spelled if x not in known]
+    found: dict[str, bytes] = {}
     plain, rest = [], []
-    for x in new:
+    for x in spelled:
         (plain if x.isalpha() and (x.isascii() or x.lower().isalpha()) else rest).append(x)
     for begin in range(0, len(plain), UNITS_PER_STRING):
         part = plain[begin : begin + UNITS_PER_STRING]
-        ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
         stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
         if len(stops) != len(part):  # a letter that the library splits at
             rest += part
             continue
         raw, at = ids.tobytes(), 0
         for x, stop in zip(part, stops):
-            known[x] = raw[at:stop]
+            found[x] = raw[at:stop]
             at = stop
     for begin in range(0, len(rest), 1000):
         part = rest[begin : begin + 1000]
-        for x, encoded in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-            known[x] = np.array(encoded.ids, np.uint32).tobytes()
-    return [known[x] for x in spelled]
+        for x, encoded in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            found[x] = np.array(encoded.ids, np.uint32).tobytes()
+    return [found[x] for x in spelled]
+
+
+def coded(units: pa.Array, path: str) -> tuple[np.ndarray, pa.Array]:
+    """The number of each unit, and the ids of the unit with each number.
+
+    Units that the worker remembers have the first numbers and are not encoded again. Once it knows too many, the half
+    that it met last stays.
+    """
+    memory = worker_memory(f"units {path}")
+    spelled, ids, met = memory.get("units") or (pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0, np.int64))
+    both = pa.concat_arrays([spelled, units]).dictionary_encode()
+    code = both.indices.to_numpy()[len(spelled) :]
+    new = both.dictionary[len(spelled) :].to_pylist()
+    ids = pa.concat_arrays([ids, pa.array(unit_ids(new, path), pa.large_binary())])
+    met = np.append(met, np.zeros(len(new), np.int64))
+    memory["batch"] = met[code] = memory.get("batch", 0) + 1
+    kept = np.flatnonzero(pc.binary_length(both.dictionary).to_numpy() <= LONGEST_KEPT)
+    if len(kept) > UNITS_KEPT:
+        kept = np.sort(kept[np.argsort(-met[kept], kind="stable")[: UNITS_KEPT // 2]])
+    if len(kept) == len(ids):
+        memory["units"] = both.dictionary, ids, met
+    else:
+        memory["units"] = both.dictionary.take(pa.array(kept)), ids.take(pa.array(kept)), met[kept]
+    return code, ids
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,17 +128,14 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     edges = np.append(np.cumsum(~space, dtype=np.int32 if len(data) < 2**31 else np.int64)[starts] - 1, len(solid))
     if len(solid) < 2 or not ((solid[:-1] == ord("<")) & (solid[1:] == ord("|"))).any():
         solid = lower_table()[solid]  # else lower case could spell a special token
-    units = strings(solid, edges).dictionary_encode()
-    ids = unit_ids(units.dictionary.to_pylist(), path)
-    ids.append(np.array([END_ID], np.uint32).tobytes())
+    code, ids = coded(strings(solid, edges), path)
+    ids = pa.concat_arrays([ids, pa.array([np.array([END_ID], np.uint32).tobytes()], pa.large_binary())])
     ends = np.searchsorted(starts, offsets[1:])
-    code = np.insert(units.indices.to_numpy(), ends, len(ids) - 1)
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    place = np.cumsum(lengths[code])
-    each = np.empty(len(ids), object)
-    each[:] = ids
-    out = np.frombuffer(b"".join(each[code].tolist()), np.uint32)
-    return out, np.append(0, place[ends + np.arange(len(ends))])
+    out = ids.take(pa.array(np.insert(code, ends, len(ids) - 1)))
+    if not len(out):
+        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    place = np.frombuffer(out.buffers()[1], np.int64, len(out) + 1) // 4
+    return np.frombuffer(out.buffers()[2], np.uint32, place[-1]), np.append(0, place[ends + np.arange(len(ends)) + 1])
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, with_ids: bool = False) -> DataFrame:

@@ -212,6 +212,33 @@ def test_worker_memory_is_bounded(monkeypatch):
     assert first.tolist() == again.tolist()
 
 
+def test_units_met_lately_stay_when_the_memory_is_full(monkeypatch):
+    """A worker encodes a unit that each batch has once only, however many others come and go."""
+    tokenizer, ends = packing.encoder(WORD_BPE)
+    given: list[str] = []
+
+    class Recorder:
+        def encode(self, text, **options):
+            given.extend(text.split())
+            return tokenizer.encode(text, **options)
+
+        def encode_batch(self, texts, **options):
+            given.extend(x for text in texts for x in text.split())
+            return tokenizer.encode_batch(texts, **options)
+
+        encode_batch_fast = encode_batch
+
+    monkeypatch.setattr(packing, "encoder", lambda path: (Recorder(), ends))
+    monkeypatch.setattr(packing, "UNITS_KEPT", 20)
+    packing.worker_memory(f"units {WORD_BPE}").clear()
+    for k in range(30):
+        text = " ".join(["rather", "often", "42nd", *("seldom" + chr(97 + k % 26) * (k + i + 1) for i in range(0, 70, 10))])
+        ids, _ = token_ids(pa.array([text]), WORD_BPE)
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
+    assert [given.count(x) for x in ("rather", "often", "42nd")] == [1, 1, 1]
+    packing.worker_memory(f"units {WORD_BPE}").clear()
+
+
 # --- quality ------------------------------------------------------------------------------------------
 
 
