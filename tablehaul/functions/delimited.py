@@ -106,12 +106,24 @@ def parse_steps(schema: T.StructType, seps: Separators) -> list[list[Column]]:
     typed = list(zip([F.col(n) for n in names], [f.dataType for f in schema], strict=True))
     pieces = [F.get("fields", F.lit(i)) for i in range(len(schema))]
     return [
-        _step([_digits(p) if isinstance(t, _WHOLE) else p for p, (_, t) in zip(pieces, typed, strict=True)], names),
-        _step([_whole_number(c) if isinstance(t, _WHOLE) else parse_value(c, t, seps, 1) for c, t in typed], names),
+        _step([_first_text(p, t, seps) for p, (_, t) in zip(pieces, typed, strict=True)], names),
+        _step([_second_value(c, t, seps) for c, t in typed], names),
         _step([_narrowed(c, t) if isinstance(t, _WHOLE) else c for c, t in typed], schema.names),
     ]
 
 
+def _first_text(text: Column, dtype: T.DataType, seps: Separators) -> Column:
+    if isinstance(dtype, T.StructType):
+        return _struct_parts(F.when(text != seps.null(1), text), seps, 1)
+    return _digits(text) if isinstance(dtype, _WHOLE) else text
+
+
+def _second_value(piece: Column, dtype: T.DataType, seps: Separators) -> Column:
+    if isinstance(dtype, T.StructType):
+        return F.when(piece.isNotNull(), _struct_of(piece, dtype, seps, 1))
+    return _whole_number(piece) if isinstance(dtype, _WHOLE) else parse_value(piece, dtype, seps, 1)
+
+
 def _step(columns: list[Column], names: list[str]) -> list[Column]:
     return [c.alias(n) for c, n in zip(columns, names, strict=True)]
 
@@ -132,17 +144,20 @@ def parse_value(text: Column, dtype: T.DataType, seps: Separators, level: int) -
     if isinstance(dtype, T.MapType):
         return _parse_map(text, dtype, seps, level)
     if isinstance(dtype, T.StructType):
-        parts = F.split(text, quoted(seps.at(level)), -1)
-
-        def fields(parts: Column) -> Column:
-            values = [parse_value(F.get(parts, F.lit(i)), f.dataType, seps, level + 1) for i, f in enumerate(dtype)]
-            return F.struct(*[v.alias(n) for v, n in zip(values, dtype.names, strict=True)])
-
-        struct = _let(parts, fields)
+        struct = _let(_struct_parts(text, seps, level), lambda parts: _struct_of(parts, dtype, seps, level))
         return F.when(text.isNotNull(), struct)
     return parse_scalar(_decoded(text, dtype, seps, level), dtype)
 
 
+def _struct_parts(text: Column, seps: Separators, level: int) -> Column:
+    return F.split(text, quoted(seps.at(level)), -1)
+
+
+def _struct_of(parts: Column, dtype: T.StructType, seps: Separators, level: int) -> Column:
+    values = [parse_value(F.get(parts, F.lit(i)), f.dataType, seps, level + 1) for i, f in enumerate(dtype)]
+    return F.struct(*[v.alias(n) for v, n in zip(values, dtype.names, strict=True)])
+
+
 def parse_scalar(text: Column, dtype: T.DataType) -> Column:
     """Casts guarded so that they accept exactly the spellings the text format accepts."""
     if isinstance(dtype, _WHOLE):
@@ -222,7 +237,8 @@ def _parse_map(text: Column, dtype: T.MapType, seps: Separators, level: int) ->
 
         places = F.array_sort(F.transform(_let(placed, heads), lambda x: x["at"]))
         kept = F.transform(places, lambda i: F.get(entries, i))
-        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), kept).otherwise(entries)
+        repeats = (F.size(entries) > 1) & (F.size(F.array_distinct(keys)) < F.size(entries))
+        return F.when(repeats, kept).otherwise(entries)
 
     items = F.transform(_split_nonempty(text, seps, level), lambda item: F.split(item, quoted(ksep), 2))
     entries = F.transform(items, entry)

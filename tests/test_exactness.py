@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+from datetime import datetime
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from tablehaul import (
     dump, extract_csv, load_partition, load_table, map_reduce, named, parse_lines, pipe_from, read_delimited, read_lines, result_lines,
     run_script, run_sum, sum_adjacent, table_stats, write_lines,
 )
+from tablehaul.plans.queries import REGISTRY
 from tablehaul.plans.script import statements
 
 BIG = 1 << 62
@@ -222,3 +224,24 @@ def test_statistics_of_nested_maps(spark, tmp_path):
     out = {r["column_name"]: r for r in table_stats(spark.read.parquet(str(tmp_path / "t"))).collect()}
     assert out["a"]["min_value"] == "1" and out["s"]["min_value"] is None and out["l"]["max_value"] is None
     assert out["a"]["file_count"] == 1 and out["a"]["byte_count"] > 0
+
+
+def test_nested_items_are_parsed_once_and_named_after_rows_multiply(spark, tmp_path):
+    day = datetime(2024, 1, 2)
+    rows = [(1, 2, 3, 4, 5.0, 0.5, "A", "O", day)] * 2 + [(2, 1, None, 7, None, 0.1, "", None, None), (3, 1, 1, 1, 1.0, 1.0, None, "F", day)]
+    ddl = (
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = REGISTRY["delimited_nested_round_trip"][0](spark, str(tmp_path))
+    first = (1, 2, 5.0, 0.5, 2, "A", day)
+    items = [("id 0", "3"), ("id 1", "4"), ("id 2", None), ("tag 0 0", "x"), ("tag 0 1", "O"), ("tag 1 0", "A")]
+    second = (2, 1, None, 0.1, 2, "", None)
+    # Raw text reads an empty text as an empty list, and a list of one NULL as NULL: no items of the third order.
+    want = [first + x for x in items] * 2 + [second + x for x in [("id 0", None), ("id 1", "7"), ("id 2", None), ("tag 0 0", "x"), ("tag 0 1", None)]]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.rsplit("Generate ", 1)
+    assert "[quantity]" in below and "[quantity]" not in above and "transform(" not in above
+    assert plan.count("split(value") == 1
