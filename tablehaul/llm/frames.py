@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 
 #: Bytes of a batch of rows that goes to Python: it lies in both processes at once, beside what is made of it.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 _ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

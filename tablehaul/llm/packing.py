@@ -28,10 +28,11 @@ SEQUENCE = 2048
 END_ID = 0
 #: Documents whose last pieces are packed together.
 GROUP_DOCS = 20_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 UNITS_PER_STRING = 100
-#: Units that a Python worker remembers, about 50 bytes each, and the bytes of the longest that it does.
-UNITS_KEPT = 500_000
+#: Units that a Python worker remembers, about 50 bytes each, and the bytes of the longest that it does. They are copied for
+#: each batch, and the worker, which goes on to other stages, keeps them.
+UNITS_KEPT = 200_000
 LONGEST_KEPT = 64
 
 

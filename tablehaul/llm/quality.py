@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.llm.frames import batch_with, in_batches, sampled, schema_with
-from tablehaul.llm.textarrays import SPACES, byte_slices, byte_table, flat, runs, slice_hashes, sums, windows
+from tablehaul.llm.textarrays import SLICE_BYTES, SPACES, byte_slices, byte_table, flat, runs, slice_hashes, sums, windows
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -31,6 +31,8 @@ FEATURES = {
 SAMPLE_ROWS = 20_000
 #: A document goes if its probability of good quality is lower.
 LEAST_QUALITY = 0.5
+#: Bytes of text at once: its statistics take some 40 times as much memory.
+AT_ONCE = SLICE_BYTES // 2
 
 
 def statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -212,7 +214,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", AT_ONCE):
             _, x = statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("quality"), pa.array(list(x))], ["doc_id", "y", "x"])
 
@@ -236,7 +238,7 @@ def judge_quality(docs: DataFrame, trees: Trees | None, least_quality: float = L
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", AT_ONCE):
             counts, x = statistics(batch.column("text"))
             n, repeated = counts["n_words"], counts["n_repeat_words"]
             failed = (n < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n)

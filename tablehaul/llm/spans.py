@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from tablehaul.llm.components import join_counted, stored
 from tablehaul.llm.frames import batch_with, in_batches, schema_with
-from tablehaul.llm.textarrays import byte_slices, flat, mixed, powers, words_of
+from tablehaul.llm.textarrays import SLICE_BYTES, byte_slices, flat, mixed, powers, words_of
 
 #: A span ends with the first sentence that gives it two sentences and so many words,
 SPAN_WORDS = 20
 #: or so many words, however few sentences.
 LONE_WORDS = 40
+#: Bytes of text at once: its sentences and spans take some 30 times as much memory.
+AT_ONCE = SLICE_BYTES // 2
 _BASES = (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
 
 
@@ -94,7 +96,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, key, begin, end, h1, h2): sentence numbers count within the text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", AT_ONCE):
             first, at, _, hashes = sentences(batch.column("text"))
             begin, end, value = spans(first, at, hashes)
             owner = np.searchsorted(first, begin, side="right") - 1
@@ -132,7 +134,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_covered_id")) & (_text_key() == F.col("_covered_key")), "left").drop("_covered_id", "_covered_key")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", AT_ONCE):
             texts = batch.column("text")
             first, _, byte, _ = sentences(texts)
             data, offsets = flat(texts)

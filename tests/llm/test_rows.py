@@ -12,9 +12,11 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import tablehaul.llm.packing as packing
-from tablehaul.llm import queries
+from tablehaul.llm import quality, queries, spans
 from tablehaul.llm.decontaminate import find_leaks, remove_leaks
 from tablehaul.llm.language import fit_language, identify_language
 from tablehaul.llm.packing import best_two_fit, pack_documents, token_ids
@@ -239,6 +241,61 @@ def test_units_met_lately_stay_when_the_memory_is_full(monkeypatch):
     packing.worker_memory(f"units {WORD_BPE}").clear()
 
 
+def test_a_worker_keeps_few_bytes_of_units():
+    """What a worker remembers of 300,000 different units stays small, as it lies beside the work of other stages."""
+    memory = packing.worker_memory(f"units {WORD_BPE}")
+    memory.clear()
+    try:
+        for begin in range(0, 300_000, 50_000):
+            token_ids(pa.array([" ".join(f"{i:06d}" for i in range(begin, begin + 50_000))]), WORD_BPE)
+        spelled, ids, met = memory["units"]
+        assert 100_000 <= len(spelled) <= 200_000
+        assert spelled.nbytes + ids.nbytes + met.nbytes < 12 << 20
+    finally:
+        memory.clear()
+
+
+@pytest.mark.parametrize("module, function, run", [
+    (quality, "statistics", lambda docs: judge_quality(docs, None)),
+    (spans, "sentences", spans.remove_repeated_spans),
+    (packing, "token_ids", lambda docs: packing.pieces(docs, WORD_BPE)),
+])
+def test_no_step_of_the_pipeline_takes_more_than_two_megabytes_of_text_at_once(spark, monkeypatch, module, function, run):
+    """Of a batch of 6 MB; a longer text is alone."""
+    taken, steps = [], []
+    texts = ["one two three. four five six seven. " * 3000] * 50 + ["eight nine. " * 200_000]
+
+    class Steps:
+        def __init__(self, df):
+            self.df = df
+
+        def mapInArrow(self, step, schema):
+            steps.append(step)
+            return self.df.limit(0).select(*[F.lit(None).cast(t).alias(n) for n, t in kinds(schema)])
+
+    def kinds(schema):
+        return [(f.name, f.dataType) for f in (T._parse_datatype_string(schema) if isinstance(schema, str) else schema)]
+
+    def recorded(given, *more):
+        taken.append([len(x) for x in given.to_pylist()])
+        return original(given, *more)
+
+    original = getattr(module, function)
+    monkeypatch.setattr(module, "in_batches", Steps)
+    monkeypatch.setattr(module, function, recorded)
+    run(spark.createDataFrame([], "doc_id bigint, text string"))
+    given = pa.record_batch({
+        "doc_id": pa.array(range(51)), "text": pa.array(texts), "key": pa.array(range(51)),
+        "_covered": pa.array([[]] * 51, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
+    })
+    for step in steps:
+        taken.clear()
+        assert list(step(iter([given])))
+        assert [n for part in taken for n in part] == [len(x) for x in texts]
+        assert all(sum(part) <= 2 << 20 for part in taken if len(part) > 1)
+    packing.worker_memory(f"units {WORD_BPE}").clear()
+
+
 # --- quality ------------------------------------------------------------------------------------------
 
 
